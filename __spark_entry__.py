@@ -28,7 +28,7 @@ def _report(report: Callable[..., DataFrame], *args, with_ids: bool = False, **o
     or orders read the view with ids."""
     def run(spark: SparkSession, root: str) -> DataFrame:
         configure(spark)
-        return report(views.tables(spark, root, with_ids), *args, **options)
+        return report(views.SampleTables(spark, root, with_ids), *args, **options)
     return run
 
 

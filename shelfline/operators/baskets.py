@@ -75,11 +75,6 @@ def top_pairs(lines: DataFrame, order: str, item: str, n: int,
     the items."""
     basket = lines.select(F.col(order).alias("order"), F.col(item).alias("item")) \
         .where(F.col("order").isNotNull() & F.col("item").isNotNull()).distinct()
-    shared = (
-        basket.groupBy("order").agg(F.count(F.lit(1)).alias("items"))
-        .where(F.col("items") > 1).select("order")
-    )
-    basket = basket.join(shared, "order", "left_semi")
     support = basket.groupBy("item").agg(F.count(F.lit(1)).alias("support"))
 
     commonest = support.orderBy(F.desc("support"), "item").limit(seed_items).select("item")

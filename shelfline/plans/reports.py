@@ -235,11 +235,7 @@ def product_pairs(tables: Tables, start: str | date, end: str | date,
     missing from the catalog shows its id."""
     _check_count(top_n)
     pairs = top_pairs(_sales(tables, start, end), "order_id", "product_id", top_n)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("product_id"))
-    names = (
-        tables.products.join(wanted, "product_id", "left_semi")
-        .select("product_id", "product_name")
-    )
+    names = tables.products
     name_a = names.select(F.col("product_id").alias("a"), F.col("product_name").alias("name_a"))
     name_b = names.select(F.col("product_id").alias("b"), F.col("product_name").alias("name_b"))
     return (

@@ -7,12 +7,13 @@ come from, with dirty names, mixed time formats and planted copies.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfline import schemas
 from shelfline.functions.money import to_price
-from shelfline.sources.tables import Tables
 
 # No order document holds many more items than this; a longer order goes on in
 # further documents. Real orders are far shorter.
@@ -21,18 +22,38 @@ DOCUMENT_ITEMS = 500
 _NUMBER_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 
 
+# The columns read from each source table.
+_SOURCES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_name string",
+    "part": "p_partkey bigint, p_name string, p_type string, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double",
+}
+
+
 def _read(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}.parquet")
+    return spark.read.schema(_SOURCES[name]).parquet(f"{root}/{name}.parquet")
 
 
-def products(spark: SparkSession, root: str) -> DataFrame:
-    suppliers = _read(spark, root, "supplier").agg(F.count(F.lit(1))).scalar()
+def _catalog(spark: SparkSession, root: str) -> DataFrame:
     return _read(spark, root, "part").select(
-        _product_id(F.col("p_partkey")).alias("product_id"),
+        "p_partkey",
+        F.lpad(F.col("p_partkey").cast("string"), 12, "0").alias("product_id"),
         F.concat("p_name", F.lit(" #"), F.col("p_partkey").cast("string")).alias("product_name"),
         F.col("p_type").alias("category"),
         F.round(F.col("p_retailprice") * 100).cast("int").alias("unit_price_cents"),
-        (F.col("p_partkey") % suppliers).cast("int").alias("supplier_id"),
+    )
+
+
+def products(spark: SparkSession, root: str) -> DataFrame:
+    supplier_count = _read(spark, root, "supplier").agg(F.count(F.lit(1))).scalar()
+    return _catalog(spark, root).select(
+        "product_id", "product_name", "category", "unit_price_cents",
+        (F.col("p_partkey") % supplier_count).cast("int").alias("supplier_id"),
     )
 
 
@@ -58,18 +79,14 @@ def stores(spark: SparkSession, root: str) -> DataFrame:
     return retail.unionByName(center)
 
 
-def _product_id(part_key: Column) -> Column:
-    return F.lpad(part_key.cast("string"), 12, "0")
-
-
 def _store_id(nation_key: Column) -> Column:
     return F.concat(F.lit("ST"), F.lpad(nation_key.cast("string"), 3, "0"))
 
 
 def _orders(spark: SparkSession, root: str) -> DataFrame:
     """One row per order with its date, channel, store and customer."""
-    orders = _read(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    customers = _read(spark, root, "customer").select("c_custkey", "c_nationkey")
+    orders = _read(spark, root, "orders")
+    customers = _read(spark, root, "customer")
     places = stores(spark, root).select("store_id", "region")
     kind = F.col("o_orderkey") % 10
     store = F.when(kind < 3, F.lit(schemas.FULFILLMENT_STORE)) \
@@ -107,11 +124,10 @@ def sales(spark: SparkSession, root: str) -> DataFrame:
 
 def _joined(spark: SparkSession, root: str, orders: DataFrame) -> DataFrame:
     lines = _lines(spark, root)
-    parts = products(spark, root)
+    parts = _catalog(spark, root)
     return (
-        lines.withColumn("product_id", _product_id(F.col("l_partkey")))
-        .join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(parts.drop("supplier_id"), "product_id")
+        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+        .join(parts, lines.l_partkey == parts.p_partkey)
         .withColumn("unit_price", to_price(F.col("unit_price_cents")))
         .withColumn("sale_price", to_price(F.col("sale_price_cents")))
     )
@@ -134,7 +150,10 @@ def _numbered(spark: SparkSession, root: str) -> DataFrame:
     # so the numbering sorts no more than a document at a time.
     document = (F.col("l_partkey") + F.col("l_suppkey") + F.col("l_linenumber")) \
         % F.col("documents")
-    in_document = Window.partitionBy("l_orderkey", "document").orderBy(*_NUMBER_ORDER)
+    # An order has one date; naming it here lets a date filter pass below the
+    # numbering.
+    in_document = Window.partitionBy("l_orderkey", "document", "sale_date") \
+        .orderBy(*_NUMBER_ORDER)
     numbered = (
         _joined(spark, root, sized)
         .withColumn("document", document)
@@ -232,14 +251,32 @@ def raw_orders(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def tables(spark: SparkSession, root: str, with_ids: bool = True) -> Tables:
-    return Tables(
-        transactions=(transactions if with_ids else sales)(spark, root),
-        products=products(spark, root),
-        stores=stores(spark, root),
-        forecasts=forecasts(spark, root),
-        raw_pos=raw_pos(spark, root),
-    )
+class SampleTables:
+    """The members of `Tables`, each built when a report first asks for it."""
+
+    def __init__(self, spark: SparkSession, root: str, with_ids: bool = True):
+        self._source = (spark, root)
+        self._with_ids = with_ids
+
+    @cached_property
+    def transactions(self) -> DataFrame:
+        return (transactions if self._with_ids else sales)(*self._source)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return products(*self._source)
+
+    @cached_property
+    def stores(self) -> DataFrame:
+        return stores(*self._source)
+
+    @cached_property
+    def forecasts(self) -> DataFrame:
+        return forecasts(*self._source)
+
+    @cached_property
+    def raw_pos(self) -> DataFrame:
+        return raw_pos(*self._source)
 
 
 # Planted faults for the quality checks, by order number.
