@@ -8,9 +8,12 @@ wrong product is worse than a dropped line.
 Score of a string against a product name: the share of the string's word
 trigrams (taken on the skeletons) that the name also has.
 
-The scored match is exact without comparing all pairs. To share `need` of its
-n trigrams with a name, a string must share at least one of any n - need + 1 of
-them, so only its rarest n - need + 1 trigrams are looked up in the catalog.
+The scored match is exact without comparing all pairs. Trigrams are put in one
+order, rarest in the catalog first. To share `need` of its n trigrams with a
+name, a string must share at least one of its first n - need + 1, and the first
+one they share can have at most need - 1 shared ones behind it on either side.
+So only rare trigrams are looked up, and common ones near the end of a name's
+list never make a pair.
 """
 
 from __future__ import annotations
@@ -28,9 +31,9 @@ from shelfline.functions.text import is_product_code, plain_name, skeleton, word
 UNKNOWN = "UNKNOWN"
 THRESHOLD = 0.5
 GAP = 0.1
-# Start of the search: most strings have one very good match, and knowing it
+# Start of the search: most strings have a good match, and knowing its score
 # lets the full search skip everything that is clearly worse.
-SEED_SCORE = 0.9
+SEED_SCORE = 0.7
 
 Scorer = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
@@ -94,24 +97,37 @@ def _need(share: Column) -> Column:
     return F.greatest(F.ceil(share * F.col("n") - 1e-9).cast("int"), F.lit(1))
 
 
+def _ranked_grams(texts: DataFrame, key: str, text: Column, rarity: DataFrame) -> DataFrame:
+    """(key, grams, n): the trigrams of each text, rarest first. A text has no
+    more of them than letters, so the regrouped list is bounded by one text."""
+    return (
+        texts.select(key, F.explode(word_trigrams(text)).alias("gram"))
+        .join(rarity, "gram", "left")
+        .groupBy(key)
+        .agg(F.sort_array(F.collect_list(F.struct(
+            F.coalesce("names", F.lit(0)).alias("names"), "gram"))).alias("ranked"))
+        .select(key, F.col("ranked.gram").alias("grams"), F.size("ranked").alias("n"))
+    )
+
+
 def _candidates(strings: DataFrame, postings: DataFrame) -> DataFrame:
-    """(identifier, name_key, shared) for all names that share at least `need`
-    of the string's trigrams.
+    """(identifier, n, name_key, shared) for all names that share at least
+    `need` of the string's trigrams.
 
-    `strings` holds the trigrams rarest first. A pair is emitted only at the
-    first trigram it shares, so no pair is emitted twice and none is shuffled.
+    A pair is emitted only at the first trigram it shares, so no pair is emitted
+    twice and none is shuffled.
     """
     probes = strings.select(
-        "identifier", "grams", "need",
+        "identifier", "grams", "n", "need",
         F.explode(F.slice("grams", F.lit(1), F.col("n") - F.col("need") + 1)).alias("gram"))
     common = F.array_intersect("grams", "name_grams")
     return (
-        probes.join(postings, "gram")
-        .where(F.col("name_n") >= F.col("need"))
-        .select("identifier", "gram", "need", "name_key", common.alias("common"))
+        probes.join(postings, (probes.gram == postings.name_gram)
+                    & (postings.name_left >= probes.need))
+        .select("identifier", "n", "gram", "need", "name_key", common.alias("common"))
         .where((F.size("common") >= F.col("need"))
                & (F.get("common", F.lit(0)) == F.col("gram")))
-        .select("identifier", "name_key", F.size("common").alias("shared"))
+        .select("identifier", "n", "name_key", F.size("common").alias("shared"))
     )
 
 
@@ -125,24 +141,17 @@ def fuzzy_matches(identifiers: DataFrame, products: DataFrame,
         .groupBy("name_key")
         .agg(F.min("product_id").alias("product_id"), F.count(F.lit(1)).alias("products"))
     )
-    gram_lists = names.select("name_key", word_trigrams(F.col("name_key")).alias("name_grams"))
-    postings = gram_lists.select(
-        "name_key", "name_grams", F.size("name_grams").alias("name_n"),
-        F.explode("name_grams").alias("gram"))
-    rarity = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("names"))
-
-    # The trigrams of each string, rarest first. A string has as many as it is
-    # long, so the regrouped list is bounded by one identifier.
-    strings = (
-        identifiers.where(~is_product_code(F.col("identifier")))
-        .select("identifier", F.explode(word_trigrams(skeleton(F.col("identifier")))).alias("gram"))
-        .join(rarity, "gram", "left")
-        .groupBy("identifier")
-        .agg(F.sort_array(F.collect_list(F.struct(
-            F.coalesce("names", F.lit(0)).alias("names"), "gram"))).alias("ranked"))
-        .select("identifier", F.col("ranked.gram").alias("grams"),
-                F.size("ranked").alias("n"))
+    rarity = (
+        names.select(F.explode(word_trigrams(F.col("name_key"))).alias("gram"))
+        .groupBy("gram").agg(F.count(F.lit(1)).alias("names"))
     )
+    postings = _ranked_grams(names, "name_key", F.col("name_key"), rarity).select(
+        "name_key", F.col("grams").alias("name_grams"), "n",
+        F.posexplode("grams").alias("place", "name_gram"),
+    ).select("name_key", "name_grams", "name_gram", (F.col("n") - F.col("place")).alias("name_left"))
+    strings = _ranked_grams(
+        identifiers.where(~is_product_code(F.col("identifier"))),
+        "identifier", skeleton(F.col("identifier")), rarity)
 
     seeds = _candidates(strings.withColumn("need", _need(F.lit(SEED_SCORE))), postings)
     best_seed = seeds.groupBy("identifier").agg(F.max("shared").alias("seed_shared"))
@@ -153,12 +162,7 @@ def fuzzy_matches(identifiers: DataFrame, products: DataFrame,
         strings.join(best_seed, "identifier", "left")
         .withColumn("need", _need(floor - gap))
     )
-    sizes = strings.select("identifier", "n")
-    scored = (
-        _candidates(searched, postings)
-        .join(sizes, "identifier")
-        .withColumn("score", F.col("shared") / F.col("n"))
-    )
+    scored = _candidates(searched, postings).withColumn("score", F.col("shared") / F.col("n"))
     order = Window.partitionBy("identifier").orderBy(F.desc("score"), F.asc("name_key"))
     top_two = (
         scored.withColumn("place", F.row_number().over(order)).where(F.col("place") <= 2)

@@ -35,6 +35,7 @@ def local_session(app: str = "shelfline", cores: int | str = "*",
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", driver_memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
