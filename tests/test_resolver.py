@@ -130,7 +130,13 @@ def test_text_helpers(spark):
         plain_name(F.col("t")).alias("plain"), skeleton(F.col("t")).alias("bare"),
         word_trigrams(F.lit("ab c")).alias("grams")).first()
     assert (row.plain, row.bare) == ("coca cola 12pk", "cc cl 12pk")
-    assert row.grams == ["^ab", "ab$", "^c$"]
+    def packed(gram):
+        a, b, c = map(ord, gram)
+        return (a << 42) + (b << 21) + c
+    assert row.grams == [packed("^ab"), packed("ab$"), packed("^c$")]
+    wide = spark.range(1).select(word_trigrams(F.lit("\u00fcber \U00020000x")).alias("g")).first().g
+    assert wide == [packed(g) for g in
+                    ("^\u00fcb", "\u00fcbe", "ber", "er$", "^\U00020000x", "\U00020000x$")]
 
 
 def test_alias_table_grows_once(spark, catalog, tmp_path):
