@@ -121,8 +121,9 @@ def _clean_transactions(spark, root):
 def _run_summary(spark, root):
     pos, orders = views.raw_pos(spark, root), views.raw_orders(spark, root)
     products = views.products(spark, root)
-    return clean_run.run_summary(
-        pos, orders, products, clean_run.resolve(pos, orders, products))
+    resolution = clean_run.resolve(pos, orders, products)
+    lines = clean_run.classified_lines(pos, orders, products, resolution)
+    return clean_run.run_summary(lines, orders, resolution)
 
 
 def _null_violations(spark, root):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def is_product_code(identifier: Column) -> Column:
     """True for digits only; null is not a code."""
-    return F.coalesce(identifier.rlike(r"\A[0-9]+\z"), F.lit(False))
+    return F.coalesce(identifier, F.lit("")).rlike(r"\A[0-9]+\z")
 
 
 def plain_name(text: Column) -> Column:

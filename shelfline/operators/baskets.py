@@ -53,8 +53,10 @@ def _pairs_by_order(basket: DataFrame, block_items: int) -> DataFrame:
     ).select(
         "order", "item", "block",
         F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    # Spread by cell: left as they are, all cells of an order would be grouped
+    # where the order was joined.
     members = (
-        cells.groupBy("order", "low", "high")
+        cells.repartition("order", "low", "high").groupBy("order", "low", "high")
         .agg(F.array_sort(F.collect_list(F.struct("item", "block"))).alias("members"))
         .where(F.size("members") > 1)
     )

@@ -107,13 +107,16 @@ def keep_first_copy(lines: DataFrame, key: list[str] = COPY_KEY) -> DataFrame:
     )
 
 
+def store_is_missing() -> Column:
+    return (F.col("channel") == "ecommerce") & F.col("store_id").isNull()
+
+
 def route_missing_stores(lines: DataFrame,
                          store: str = schemas.FULFILLMENT_STORE) -> DataFrame:
     """Order lines without a store ship from the fulfillment center; register
     rows are left as they are."""
-    missing = (F.col("channel") == "ecommerce") & F.col("store_id").isNull()
-    return lines.withColumn("store_id",
-                            F.when(missing, F.lit(store)).otherwise(F.col("store_id")))
+    return lines.withColumn(
+        "store_id", F.when(store_is_missing(), F.lit(store)).otherwise(F.col("store_id")))
 
 
 def unmatched_identifiers(lines: DataFrame, products: DataFrame) -> DataFrame:

@@ -8,25 +8,16 @@ from pyspark.sql import functions as F
 from shelfline import schemas
 from shelfline.operators import cleaning, enrich, resolver
 from shelfline.sources import raw, staging
-from shelfline.sources.tables import read_table, write_transactions
+from shelfline.sources.tables import read_table, read_transactions, write_lines
 
 LOADED = "loaded"
 UNKNOWN_PRODUCT = "unknown_product"
 BAD_TIME = "bad_time"
 
-
-def build_transactions(raw_pos: DataFrame, orders: DataFrame, products: DataFrame,
-                       stores: DataFrame, aliases: DataFrame | None = None,
-                       scorer: resolver.Scorer | None = None,
-                       on_error: str = "quarantine") -> DataFrame:
-    """The clean table as one lazy plan over the staged feeds."""
-    lines = cleaning.clean_lines(raw_pos, orders, on_error)
-    resolution = resolve(raw_pos, orders, products, aliases, scorer)
-    lookup = enrich.product_lookup(products, resolution)
-    return (
-        enrich.enrich(lines.where(F.col("sale_timestamp").isNotNull()), lookup, stores)
-        .select(*schemas.TRANSACTION_COLUMNS)
-    )
+# Where a run leaves its tables below its root directory.
+POS_STAGE, ORDER_STAGE = "raw_pos", "raw_orders"
+RESOLUTION, ALIASES = "resolution", "product_alias"
+SALE_LINES = "sale_lines"
 
 
 def resolve(raw_pos: DataFrame, orders: DataFrame, products: DataFrame,
@@ -40,25 +31,43 @@ def resolve(raw_pos: DataFrame, orders: DataFrame, products: DataFrame,
     return resolver.resolve_products(unmatched, products, aliases, scorer)
 
 
-def classify(lines: DataFrame, products: DataFrame, resolution: DataFrame) -> DataFrame:
-    """Deduplicated lines with their `outcome`: loaded, or why not."""
-    lookup = enrich.product_lookup(products, resolution).select("product_identifier", "product_id")
-    return enrich.join_products(lines, lookup, "left").withColumn(
+def classified_lines(raw_pos: DataFrame, orders: DataFrame, products: DataFrame,
+                     resolution: DataFrame, on_error: str = "quarantine") -> DataFrame:
+    """Every line once, with its catalog columns, the number of `copies` it
+    stands for, whether it was `routed` to the fulfillment center, and its
+    `outcome`: loaded, or why not."""
+    lines = cleaning.distinct_lines(raw_pos, orders, on_error)
+    marked = cleaning.route_missing_stores(
+        lines.withColumn("routed", cleaning.store_is_missing()))
+    known = enrich.join_products(marked, enrich.product_lookup(products, resolution), "left")
+    return known.withColumn(
         "outcome",
-        F.when(F.col("sale_timestamp").isNull(), F.lit(BAD_TIME))
-        .when(F.col("product_id").isNull(), F.lit(UNKNOWN_PRODUCT))
+        F.when(F.col("product_id").isNull(), F.lit(UNKNOWN_PRODUCT))
+        .when(F.col("sale_timestamp").isNull(), F.lit(BAD_TIME))
         .otherwise(F.lit(LOADED)))
 
 
-def run_summary(raw_pos: DataFrame, orders: DataFrame, products: DataFrame,
-                resolution: DataFrame) -> DataFrame:
-    """(metric, value): the counters of a run.
+def finished_lines(lines: DataFrame, stores: DataFrame) -> DataFrame:
+    return enrich.price_columns(enrich.join_stores(lines, stores))
 
-    Each kept line knows how many copies it stands for, so one pass over the
-    kept lines counts both what came in and what went out.
-    """
-    kept = classify(cleaning.distinct_lines(raw_pos, orders), products, resolution)
 
+def build_transactions(raw_pos: DataFrame, orders: DataFrame, products: DataFrame,
+                       stores: DataFrame, aliases: DataFrame | None = None,
+                       scorer: resolver.Scorer | None = None,
+                       on_error: str = "quarantine") -> DataFrame:
+    """The clean table as one lazy plan over the staged feeds."""
+    resolution = resolve(raw_pos, orders, products, aliases, scorer)
+    lines = classified_lines(raw_pos, orders, products, resolution, on_error)
+    good = lines.where(F.col("product_id").isNotNull() & F.col("sale_timestamp").isNotNull())
+    return finished_lines(good, stores).select(*schemas.TRANSACTION_COLUMNS)
+
+
+def run_summary(lines: DataFrame, orders: DataFrame, resolution: DataFrame) -> DataFrame:
+    """(metric, value): the counters of a run, from its classified lines.
+
+    Each line knows how many copies it stands for, so one pass over a few
+    columns counts both what came in and what went out.
+    """
     def lines_with(outcome: str):
         return F.count_if(F.col("outcome") == outcome)
 
@@ -66,18 +75,15 @@ def run_summary(raw_pos: DataFrame, orders: DataFrame, products: DataFrame,
         return F.coalesce(
             F.sum(F.when(F.col("channel") == channel, F.col("copies"))), F.lit(0))
 
-    counted = {
-        "raw_pos_rows": copies_in("pos"),
-        "exploded_lines": copies_in("ecommerce"),
-        "lines_after_dedup": F.count(F.lit(1)),
-        "duplicates_removed": F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)),
-        "routed_to_fulfillment": F.count_if(
-            (F.col("channel") == "ecommerce") & F.col("store_id").isNull()),
-        "unknown_rows_dropped": lines_with(UNKNOWN_PRODUCT),
-        "bad_time_rows_dropped": lines_with(BAD_TIME),
-        "final_rows": lines_with(LOADED),
-    }
-    by_line = kept.agg(*[value.alias(name) for name, value in counted.items()])
+    by_line = lines.agg(
+        copies_in("pos").alias("raw_pos_rows"),
+        copies_in("ecommerce").alias("exploded_lines"),
+        F.count(F.lit(1)).alias("lines_after_dedup"),
+        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates_removed"),
+        F.count_if("routed").alias("routed_to_fulfillment"),
+        lines_with(UNKNOWN_PRODUCT).alias("unknown_rows_dropped"),
+        lines_with(BAD_TIME).alias("bad_time_rows_dropped"),
+        lines_with(LOADED).alias("final_rows"))
     by_identifier = resolution.agg(
         F.count(F.lit(1)).alias("unmatched_identifiers"),
         F.count_if(F.col("product_id") != resolver.UNKNOWN).alias("resolutions_made"))
@@ -97,14 +103,16 @@ def _long(row: DataFrame) -> DataFrame:
 def run(spark: SparkSession, pos_path: str, orders_path: str, root: str,
         scorer: resolver.Scorer | None = None, on_error: str = "quarantine",
         json_array: bool = False) -> DataFrame:
-    """Stage the files, resolve, write the clean table, return the counters.
+    """Stage the files, resolve, write the sale lines, return the counters.
 
-    `root` is shared storage with `products` and `stores`; the staging tables,
-    the resolution, the learned aliases and `transactions` are written there.
-    Each stage ends in a written table, so a lost executor costs at most the
-    stage it was in.
+    `root` is shared storage with `products` and `stores`; everything a run
+    makes is written there. The lines are written once, by outcome: those that
+    were loaded are the clean table, the others stay readable beside it.
+
+    Every stage ends in a written table, so a lost executor costs at most the
+    stage it was in, and the counters are counted in the written table.
     """
-    pos_stage, order_stage = f"{root}/raw_pos", f"{root}/raw_orders"
+    pos_stage, order_stage = f"{root}/{POS_STAGE}", f"{root}/{ORDER_STAGE}"
     staging.stage_pos(raw.read_pos_csv(spark, pos_path), pos_stage, "overwrite")
     staging.stage_orders(
         raw.read_orders_json(spark, orders_path, json_array), order_stage, "overwrite")
@@ -113,14 +121,23 @@ def run(spark: SparkSession, pos_path: str, orders_path: str, root: str,
     products = read_table(spark, f"{root}/products", schemas.PRODUCTS)
     stores = read_table(spark, f"{root}/stores", schemas.STORES)
 
-    aliases = resolver.load_aliases(spark, f"{root}/product_alias")
+    aliases = resolver.load_aliases(spark, f"{root}/{ALIASES}")
     resolve(raw_pos, orders, products, aliases, scorer) \
-        .write.mode("overwrite").parquet(f"{root}/resolution")
-    resolution = spark.read.parquet(f"{root}/resolution")
-    resolver.save_aliases(resolution, f"{root}/product_alias")
-
-    lines = cleaning.clean_lines(raw_pos, orders, on_error)
-    lookup = enrich.product_lookup(products, resolution)
-    clean = enrich.enrich(lines.where(F.col("sale_timestamp").isNotNull()), lookup, stores)
-    write_transactions(clean.select(*schemas.TRANSACTION_COLUMNS), f"{root}/transactions")
-    return run_summary(raw_pos, orders, products, resolution)
+        .write.mode("overwrite").parquet(f"{root}/{RESOLUTION}")
+    resolution = spark.read.parquet(f"{root}/{RESOLUTION}")
+    resolver.save_aliases(resolution, f"{root}/{ALIASES}")
+
+    lines = classified_lines(raw_pos, orders, products, resolution, on_error)
+    write_lines(finished_lines(lines, stores), f"{root}/{SALE_LINES}")
+    written = spark.read.parquet(f"{root}/{SALE_LINES}")
+    return run_summary(written, orders, resolution)
+
+
+def read_run(spark: SparkSession, root: str) -> DataFrame:
+    """The clean table of the last run."""
+    return read_transactions(spark, f"{root}/{SALE_LINES}/outcome={LOADED}")
+
+
+def read_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """The lines of the last run that were not loaded, with their outcome."""
+    return spark.read.parquet(f"{root}/{SALE_LINES}").where(F.col("outcome") != LOADED)

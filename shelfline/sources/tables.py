@@ -49,34 +49,47 @@ def read_tables(spark: SparkSession, root: str) -> Tables:
     )
 
 
+def _stamped(lines: DataFrame, loaded_at: datetime, *extra: str) -> DataFrame:
+    """The columns of the clean table under their declared types."""
+    typed = [F.col(f.name).cast(f.dataType).alias(f.name)
+             for f in schemas.TRANSACTIONS if f.name != "inserted_at"]
+    return lines.select(
+        *typed, *extra, F.lit(loaded_at).alias("inserted_at"),
+        F.trunc("sale_date", "month").alias("sale_month"))
+
+
+def _write(rows: DataFrame, path: str, mode: str, *partitions: str) -> None:
+    """Write by month. The rebalance hint lets Spark merge small partitions and
+    split one that holds much of the data over several tasks."""
+    (
+        rows.hint("rebalance", *partitions)
+        .sortWithinPartitions(*partitions, "sale_date", "category", "store_id")
+        .write.mode(mode).option("partitionOverwriteMode", "static")
+        .partitionBy(*partitions).parquet(path)
+    )
+
+
 def write_transactions(clean: DataFrame, path: str, mode: str = "overwrite") -> int:
-    """Write the clean table by month and return the number of rows written.
+    """Write the clean table and return the number of rows written.
 
     "overwrite" rebuilds the table, so a rerun leaves one copy; "append" adds a
-    further load. The rebalance hint lets Spark merge small months and split a
-    month that holds much of the data over several tasks.
+    further load.
     """
     spark = clean.sparkSession
     loaded_at = datetime.now(timezone.utc)
-    typed = [F.col(f.name).cast(f.dataType).alias(f.name)
-             for f in schemas.TRANSACTIONS if f.name != "inserted_at"]
-    rows = clean.select(
-        *typed,
-        F.lit(loaded_at).alias("inserted_at"),
-        F.trunc("sale_date", "month").alias("sale_month"),
-    )
-    (
-        rows.hint("rebalance", "sale_month")
-        .sortWithinPartitions("sale_month", "sale_date", "category", "store_id")
-        .write.mode(mode).option("partitionOverwriteMode", "static")
-        .partitionBy("sale_month").parquet(path)
-    )
+    _write(_stamped(clean, loaded_at), path, mode, "sale_month")
     # Counted in the written files: counters kept by tasks would count a lost
     # and repeated task twice.
     written = spark.read.parquet(path).where(F.col("inserted_at") == F.lit(loaded_at))
     return written.count()
 
 
+def write_lines(lines: DataFrame, path: str) -> None:
+    """Write classified sale lines by outcome and month, replacing the last run."""
+    rows = _stamped(lines, datetime.now(timezone.utc), "outcome", "copies", "routed")
+    _write(rows, path, "overwrite", "outcome", "sale_month")
+
+
 def freshness(transactions: DataFrame) -> DataFrame:
     """When the clean table was last loaded."""
     return transactions.agg(F.max("inserted_at").alias("last_loaded"))

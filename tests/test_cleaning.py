@@ -164,7 +164,8 @@ def test_build_transactions(pos, orders, products, stores):
 
 def test_run_summary_and_reconciliation(pos, orders, products):
     resolution = clean_run.resolve(pos, orders, products)
-    summary = clean_run.run_summary(pos, orders, products, resolution)
+    lines = clean_run.classified_lines(pos, orders, products, resolution)
+    summary = clean_run.run_summary(lines, orders, resolution)
     metrics = {r.metric: r.value for r in summary.collect()}
     assert metrics == {
         "raw_pos_rows": 9, "raw_orders": 4, "exploded_lines": 4,

@@ -83,12 +83,14 @@ def test_whole_run(spark, shop_dir, name, is_array):
         assert metrics["duplicates_removed"] == 1
         assert metrics["unknown_rows_dropped"] == 1 and metrics["bad_time_rows_dropped"] == 1
         assert metrics["final_rows"] == 5
-        clean = tables.read_transactions(spark, f"{root}/transactions")
+        clean = clean_run.read_run(spark, root)
         assert clean.count() == 5
     cola = clean.where("transaction_id = 'POS-2'").first()
     assert (cola.product_id, cola.quantity) == ("000000000002", 1)
     assert {str(r.sale_month) for r in clean.select("sale_month").collect()} \
         == {"2026-03-01", "2026-04-01"}
+    rejects = {r.transaction_id: r.outcome for r in clean_run.read_rejects(spark, root).collect()}
+    assert rejects == {"POS-4": "unknown_product", "POS-5": "bad_time"}
     aliases = spark.read.parquet(f"{root}/product_alias").collect()
     assert [(a.identifier, a.product_id) for a in aliases] == [("COLA 12PK", "000000000002")]
 
