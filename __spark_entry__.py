@@ -153,6 +153,22 @@ def _bad_timestamps(spark, root):
     ).select("transaction_id", "sale_timestamp_raw")
 
 
+def _faulty_tables(spark, root) -> dict[str, DataFrame]:
+    tx = views.with_unlisted_product(views.with_repeated_rows(views.transactions(spark, root)))
+    return {"transactions": tx, "products": views.products(spark, root),
+            "stores": views.stores(spark, root), "suppliers": views.suppliers(spark, root),
+            "forecasts": views.forecasts(spark, root)}
+
+
+def _pk_report(spark, root):
+    keys = {t: k for t, k in schemas.PRIMARY_KEYS.items() if t != "forecasts"}
+    return quality.pk_report(_faulty_tables(spark, root), keys)
+
+
+def _fk_report(spark, root):
+    return quality.fk_report(_faulty_tables(spark, root))
+
+
 def _reconciliation(spark, root):
     return quality.reconcile(_run_summary(spark, root))
 
@@ -226,6 +242,8 @@ def queries() -> dict[str, Query]:
         "pk_violations": _pk_violations,
         "domain_violations": _domain_violations,
         "fk_violations": _fk_violations,
+        "pk_report": _pk_report,
+        "fk_report": _fk_report,
         "bad_timestamps": _bad_timestamps,
         "reconciliation": _reconciliation,
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.views import FORECASTS, PRODUCTS, RAW_POS, STORES, with_views
+from oracle.views import FORECASTS, RAW_POS, STORES, with_views
 
 START, END = "1997-01-01", "1997-03-31"
 PRIOR_START, PRIOR_END = "1996-10-03", "1996-12-31"
@@ -366,6 +366,24 @@ FROM raw_pos WHERE NOT regexp_full_match(upc_or_name, '[0-9]+')""", RAW_POS)
         f"SELECT transaction_id, 'phone' AS channel FROM tx WHERE {FAULT['channel']}")
     sql["fk_violations"] = with_views(
         f"SELECT '999999999999' AS product_id, transaction_id FROM tx WHERE {FAULT['product']}")
+    sql["pk_report"] = with_views(f"""
+SELECT 'transactions' AS table_name, 'transaction_id' AS key,
+       (SELECT count(*) FROM tx WHERE {FAULT['copy']}) AS violations
+UNION ALL SELECT 'products', 'product_id', count(*) - count(DISTINCT product_id) FROM products
+UNION ALL SELECT 'stores', 'store_id', count(*) - count(DISTINCT store_id) FROM stores
+UNION ALL SELECT 'suppliers', 'supplier_id', count(*) - count(DISTINCT s_suppkey) FROM supplier""")
+    sql["fk_report"] = with_views(f"""
+SELECT 'transactions' AS table_name, 'product_id' AS key,
+       (SELECT count(*) FROM tx WHERE {FAULT['product']})
+       + (SELECT count(*) FROM tx WHERE {FAULT['product']} AND {FAULT['copy']}) AS violations
+UNION ALL SELECT 'transactions', 'store_id', count(*) FROM tx
+  WHERE store_id NOT IN (SELECT store_id FROM stores)
+UNION ALL SELECT 'products', 'supplier_id', count(*) FROM products
+  WHERE supplier_id NOT IN (SELECT s_suppkey FROM supplier)
+UNION ALL SELECT 'forecasts', 'product_id', count(*) FROM forecasts
+  WHERE product_id NOT IN (SELECT product_id FROM products)
+UNION ALL SELECT 'forecasts', 'store_id', count(*) FROM forecasts
+  WHERE store_id NOT IN (SELECT store_id FROM stores)""", FORECASTS)
     sql["bad_timestamps"] = with_views(f"""
 SELECT transaction_id, 'not a time' AS sale_timestamp_raw FROM raw_pos
 WHERE {FAULT['time']}""", RAW_POS)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +40,32 @@ def fk_violations(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return child.where(F.col(key).isNotNull()).join(parents, key, "left_anti")
 
 
+def pk_report(tables: dict[str, DataFrame],
+              keys: dict[str, str] | None = None) -> DataFrame:
+    """(table_name, key, violations): how many key values of each given table
+    are not unique."""
+    return _stacked([
+        pk_violations(tables[name], key)
+        .agg(F.lit(name).alias("table_name"), F.lit(key).alias("key"),
+             F.count(F.lit(1)).alias("violations"))
+        for name, key in (keys or schemas.PRIMARY_KEYS).items() if name in tables])
+
+
+def fk_report(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, key, violations): how many rows of each given table refer to
+    a row that is not there."""
+    return _stacked([
+        fk_violations(tables[child], tables[parent], key)
+        .agg(F.lit(child).alias("table_name"), F.lit(key).alias("key"),
+             F.count(F.lit(1)).alias("violations"))
+        for child, parent, key in schemas.FOREIGN_KEYS
+        if child in tables and parent in tables])
+
+
+def _stacked(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
 def bad_timestamps(parsed_lines: DataFrame) -> DataFrame:
     """Lines whose time could not be read."""
     return parsed_lines.where(F.col("sale_timestamp").isNull())
@@ -77,11 +105,8 @@ def reconcile_rollups(rollups: dict[str, DataFrame], total: DataFrame,
                   .cast("double").alias("left_value"))
         for name, frame in rollups.items()
     ]
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part)
     whole = total.select(F.col(measure).cast("double")).scalar()
     return (
-        stacked.withColumn("right_value", whole)
+        _stacked(parts).withColumn("right_value", whole)
         .withColumn("difference", F.round(F.col("left_value") - F.col("right_value"), 2))
     )
