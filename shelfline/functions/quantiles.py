@@ -1,4 +1,4 @@
-"""Exact median of a column without gathering the column in one task."""
+"""Exact medians of columns without gathering a column in one task."""
 
 from __future__ import annotations
 
@@ -11,31 +11,51 @@ _ACCURACY = 10_000
 _BRACKET = [0.499, 0.501]
 
 
-def exact_median(df: DataFrame, column: str) -> Column:
-    """Median as a scalar column, the mean of the middle two for even counts.
+def exact_medians(df: DataFrame, columns: list[str]) -> Column:
+    """Medians of the columns as one scalar struct column with their names; the
+    mean of the middle two for even counts, nulls aside.
 
-    A sketch brackets the middle, rows below the bracket are only counted, and
+    A sketch brackets the middle, values below the bracket are only counted, and
     just the distinct values inside it (0.2 % of the ranks) are sorted.
     """
-    value = F.col(column).cast("double")
+    numbers = {c: F.col(c).cast("double") for c in columns}
+    ends = df.agg(F.struct(*[
+        F.percentile_approx(value, _BRACKET, _ACCURACY).alias(c)
+        for c, value in numbers.items()])).scalar()
+
+    def of_column(pick) -> Column:
+        return F.coalesce(*[F.when(F.col("name") == c, pick(c)) for c in columns])
+
+    low = of_column(lambda c: F.get(ends.getField(c), F.lit(0)))
+    high = of_column(lambda c: F.get(ends.getField(c), F.lit(1)))
     counts = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(value.alias("v")).agg(F.count(F.lit(1)).alias("rows"))
+        df.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("name"), value.alias("v")) for c, value in numbers.items()])))
+        .where(F.col("v").isNotNull())
+        .groupBy("name", "v").agg(F.count(F.lit(1)).alias("rows"))
     )
-    bracket = df.agg(
-        F.percentile_approx(value, _BRACKET, _ACCURACY).alias("ends"))
-    low = bracket.select(F.get("ends", F.lit(0))).scalar()
-    high = bracket.select(F.get("ends", F.lit(1))).scalar()
-    total = counts.agg(F.sum("rows")).scalar()
-    below = counts.where(F.col("v") < low).agg(F.coalesce(F.sum("rows"), F.lit(0))).scalar()
 
+    def rows_where(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("rows"))), F.lit(0))
+
+    sizes = counts.agg(F.struct(*[
+        F.struct(rows_where(F.col("name") == c).alias("total"),
+                 rows_where((F.col("name") == c) & (F.col("v") < low)).alias("below")).alias(c)
+        for c in columns])).scalar()
+    total = of_column(lambda c: sizes.getField(c).getField("total"))
+    below = of_column(lambda c: sizes.getField(c).getField("below"))
+
+    so_far = Window.partitionBy("name").orderBy("v") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = (
         counts.where(F.col("v").between(low, high))
-        .withColumn("rank", below + F.sum("rows").over(
-            Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .select("name", "v", total.alias("total"),
+                (below + F.sum("rows").over(so_far)).alias("rank"))
     )
-    lower_rank = F.floor((total + 1) / 2)
-    upper_rank = F.floor((total + 2) / 2)
-    return ranked.agg(
-        (F.min(F.when(F.col("rank") >= lower_rank, F.col("v")))
-         + F.min(F.when(F.col("rank") >= upper_rank, F.col("v")))) / 2).scalar()
+
+    def at_rank(c: str, rank: Column) -> Column:
+        return F.min(F.when((F.col("name") == c) & (F.col("rank") >= rank), F.col("v")))
+
+    lower, upper = F.floor((F.col("total") + 1) / 2), F.floor((F.col("total") + 2) / 2)
+    return ranked.agg(F.struct(*[
+        ((at_rank(c, lower) + at_rank(c, upper)) / 2).alias(c) for c in columns])).scalar()

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.functions.dates import as_date
-from shelfline.functions.quantiles import exact_median
+from shelfline.functions.quantiles import exact_medians
 from shelfline.plans import reports
 from shelfline.sources.tables import Tables
 
@@ -17,11 +17,12 @@ def product_quadrants(tables: Tables, start: str | date, end: str | date) -> Dat
     """Products split at the medians of units sold and margin per unit; a value
     on the median counts as high."""
     products = reports.product_scatter(tables, start, end)
+    medians = exact_medians(products, ["units_sold", "margin_per_unit"])
     many = F.col("units_sold") >= F.col("median_units")
     rich = F.col("margin_per_unit") >= F.col("median_margin")
     return (
-        products.withColumn("median_units", exact_median(products, "units_sold"))
-        .withColumn("median_margin", exact_median(products, "margin_per_unit"))
+        products.withColumn("median_units", medians.getField("units_sold"))
+        .withColumn("median_margin", medians.getField("margin_per_unit"))
         .withColumn("quadrant",
                     F.when(many & rich, F.lit("Stars"))
                     .when(rich, F.lit("Niche gems"))

@@ -7,7 +7,7 @@ from itertools import combinations
 
 import pytest
 
-from shelfline.functions.quantiles import exact_median
+from shelfline.functions.quantiles import exact_medians
 from shelfline.operators.baskets import top_pairs
 
 
@@ -56,7 +56,8 @@ def test_no_pairs(spark):
     [random.Random(8).random() for _ in range(30_001)],
     [1.0] * 10_000 + [random.Random(7).random() * 3 for _ in range(20_000)],
 ])
-def test_exact_median(spark, values):
-    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double").repartition(6)
-    assert spark.range(1).select(exact_median(df, "x").alias("m")).first().m \
-        == statistics.median(values)
+def test_exact_medians(spark, values):
+    df = spark.createDataFrame([(v, -v) for v in values] + [(None, None)], "x double, y double") \
+        .repartition(6)
+    row = spark.range(1).select(exact_medians(df, ["x", "y"]).alias("m")).first().m
+    assert (row.x, row.y) == (statistics.median(values), -statistics.median(values))
