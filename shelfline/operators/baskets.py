@@ -1,14 +1,13 @@
-"""Counting which items are bought together.
+"""Counting which items are bought together: the N most frequent pairs, exactly.
 
-The N most frequent pairs, exactly, without gathering an order in one place:
+Ordinary orders are gathered one array each and their pairs are counted inside
+each task before they are shuffled.
 
-* a pair cannot be in more orders than the rarer of its two items, so items
-  rarer than the N-th best pair found among the commonest items are set aside
-  before any pair is formed;
-* an order with many items left is cut into blocks of items, and each pair of
-  blocks is a group of its own, so one huge order spreads over many tasks and no
-  group grows with it;
-* pairs are counted inside each task before they are shuffled.
+A large order is never gathered. Its items are cut into blocks, and each pair of
+blocks is a group of its own. And since a pair is in a large order at most once,
+H large orders add at most H to its count: a pair that the ordinary orders leave
+more than H below the N-th best cannot get into the result, so only items of the
+pairs above that line are looked for in large orders.
 """
 
 from __future__ import annotations
@@ -16,32 +15,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Items per block, and the number of commonest items that give the first bound.
+# Lines that make an order a large one, and the items per block of its items.
+LARGE_ORDER = 512
 BLOCK_ITEMS = 256
-SEED_ITEMS = 256
 
 
-def _ordered_pairs(items: Column) -> Column:
-    """All pairs a < b of an array of structs (block, item) sorted by item."""
-    # The generator runs to the last item, which has no partner.
-    pairs = F.transform(items, lambda left, i: F.transform(
-        F.slice(items, i + 2, F.size(items)),
-        lambda right: F.struct(
-            left["item"].alias("a"), right["item"].alias("b"),
-            left["block"].alias("a_block"), right["block"].alias("b_block"))))
-    return F.flatten(pairs)
+def _pairs_of(members: DataFrame, *keys: str) -> DataFrame:
+    """(keys, left, right) for each item of the sorted array `members` with
+    every later one."""
+    later = F.slice("members", F.col("place") + 2, F.size("members"))
+    return (
+        members.where(F.size("members") > 1)
+        .select(*keys, "members", F.posexplode("members").alias("place", "left"))
+        .select(*keys, "left", F.explode(later).alias("right"))
+    )
 
 
-def _pairs_by_order(basket: DataFrame, block_items: int) -> DataFrame:
-    """(order, a, b), one row per order and unordered pair of its items.
+def _counted(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("orders"), F.min("order").alias("first_order"))
 
-    `basket` has distinct (order, item). An order is cut into enough blocks to
-    keep each near `block_items`; every item goes to each pair of blocks that
-    includes its own.
-    """
+
+def _pairs_by_block(basket: DataFrame, block_items: int) -> DataFrame:
+    """(order, a, b) of distinct (order, item). Every item goes to each pair of
+    blocks that includes its own; no group is much larger than two blocks."""
     sizes = (
         basket.groupBy("order").agg(F.count(F.lit(1)).alias("items"))
-        .where(F.col("items") > 1)
         .select("order", F.ceil(F.col("items") / block_items).cast("int").alias("blocks"))
     )
     placed = basket.join(sizes, "order").select(
@@ -57,43 +56,56 @@ def _pairs_by_order(basket: DataFrame, block_items: int) -> DataFrame:
     # where the order was joined.
     members = (
         cells.repartition("order", "low", "high").groupBy("order", "low", "high")
-        .agg(F.array_sort(F.collect_list(F.struct("item", "block"))).alias("members"))
-        .where(F.size("members") > 1)
+        .agg(F.sort_array(F.collect_list(F.struct("item", "block"))).alias("members"))
     )
-    pairs = members.select("order", "low", "high",
-                           F.explode(_ordered_pairs(F.col("members"))).alias("pair"))
     # Two items of one block meet in several cells; only (block, block) counts.
-    across = F.col("pair.a_block") != F.col("pair.b_block")
+    across = F.col("left.block") != F.col("right.block")
     return (
-        pairs.where((F.col("low") == F.col("high")) | across)
-        .select("order", "pair.a", "pair.b")
+        _pairs_of(members, "order", "low", "high")
+        .where((F.col("low") == F.col("high")) | across)
+        .select("order", F.col("left.item").alias("a"), F.col("right.item").alias("b"))
     )
 
 
 def top_pairs(lines: DataFrame, order: str, item: str, n: int,
-              block_items: int = BLOCK_ITEMS, seed_items: int = SEED_ITEMS) -> DataFrame:
+              large_order: int = LARGE_ORDER, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """(a, b, orders, first_order): the n pairs of items found together in most
     orders. Equal counts rank by the lowest order that has the pair, then by
     the items."""
-    basket = lines.select(F.col(order).alias("order"), F.col(item).alias("item")) \
-        .where(F.col("order").isNotNull() & F.col("item").isNotNull()).distinct()
-    support = basket.groupBy("item").agg(F.count(F.lit(1)).alias("support"))
-
-    commonest = support.orderBy(F.desc("support"), "item").limit(seed_items).select("item")
-    seed_counts = (
-        _pairs_by_order(basket.join(commonest, "item", "left_semi"), block_items)
-        .groupBy("a", "b").agg(F.count(F.lit(1)).alias("orders"))
-        .orderBy(F.desc("orders")).limit(n)
+    entries = lines.select(F.col(order).alias("order"), F.col(item).alias("item")) \
+        .where(F.col("order").isNotNull() & F.col("item").isNotNull())
+    large = (
+        entries.groupBy("order").agg(F.count(F.lit(1)).alias("lines"))
+        .where(F.col("lines") > large_order).select("order")
     )
-    # The n-th best count so far; fewer than n pairs say nothing.
-    bound = seed_counts.agg(
+    small_counts = _counted(
+        _pairs_of(
+            entries.join(large, "order", "left_anti")
+            .groupBy("order").agg(F.sort_array(F.collect_set("item")).alias("members")),
+            "order")
+        .select("order", F.col("left").alias("a"), F.col("right").alias("b")))
+
+    # What a pair needs from ordinary orders to have a chance: the n-th best
+    # count there, less one for each large order. Fewer than n pairs say nothing.
+    best = small_counts.select("orders").orderBy(F.desc("orders")).limit(n).agg(
         F.when(F.count(F.lit(1)) == n, F.min("orders")).otherwise(F.lit(1))).scalar()
-    frequent = support.where(F.col("support") >= bound).select("item")
+    needed = best - large.agg(F.count(F.lit(1))).scalar()
 
+    strong = small_counts.where(F.col("orders") >= needed)
+    wanted = (
+        strong.select(F.explode(F.array("a", "b")).alias("item")).distinct()
+        .withColumn("is_wanted", F.lit(True))
+    )
+    in_large = entries.join(large, "order", "left_semi").distinct()
+    looked_for = (
+        in_large.join(wanted, "item", "left")
+        .where(F.col("is_wanted") | (needed <= 0)).select("order", "item")
+    )
+    large_counts = _counted(_pairs_by_block(looked_for, block_items))
     return (
-        _pairs_by_order(basket.join(frequent, "item", "left_semi"), block_items)
+        strong.unionByName(large_counts)
         .groupBy("a", "b")
-        .agg(F.count(F.lit(1)).alias("orders"), F.min("order").alias("first_order"))
+        .agg(F.sum("orders").alias("orders"), F.min("first_order").alias("first_order"))
         .orderBy(F.desc("orders"), "first_order", "a", "b")
         .limit(n)
     )

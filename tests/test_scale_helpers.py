@@ -32,13 +32,19 @@ def _skewed_orders(seed):
     return orders
 
 
-@pytest.mark.parametrize("seed, n, block, seeds", [
-    (1, 20, 256, 256), (2, 20, 7, 5), (3, 300, 16, 10), (4, 5, 2, 3), (5, 20_000, 50, 20)])
-def test_top_pairs(spark, seed, n, block, seeds):
+@pytest.mark.parametrize("seed, n, large, block", [
+    (1, 20, 512, 256),      # one large order
+    (2, 20, 100, 7), (3, 300, 100, 16),
+    (4, 5, 3, 2),           # most orders are large
+    (5, 20_000, 50, 50),    # more pairs asked for than there are
+    (6, 20, 100_000, 10),   # none is large
+    (7, 50, 0, 40),         # all are
+])
+def test_top_pairs(spark, seed, n, large, block):
     orders = _skewed_orders(seed)
     lines = spark.createDataFrame(
         [(o, p) for o, ps in orders.items() for p in ps], "order_id string, product_id string")
-    got = top_pairs(lines, "order_id", "product_id", n, block, seeds)
+    got = top_pairs(lines, "order_id", "product_id", n, large, block)
     assert [tuple(r) for r in got.collect()] == _brute_force_pairs(orders, n)
 
 
