@@ -6,6 +6,8 @@ sums meet, and stays in generated code; wide decimal sums do not.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,8 +22,9 @@ def dollars(amount_cents: Column) -> Column:
 
 
 def to_price(amount_cents: Column) -> Column:
-    """Decimal dollars of a cents column, as stored in the clean table."""
-    return (amount_cents.cast("decimal(10,0)") / 100).cast("decimal(10,2)")
+    """Decimal dollars of a cents column, as stored in the clean table. Exact,
+    and a decimal product is much cheaper than a quotient."""
+    return (amount_cents.cast("decimal(10,0)") * F.lit(Decimal("0.01"))).cast("decimal(10,2)")
 
 
 def rounded(value: Column, places: int) -> Column:

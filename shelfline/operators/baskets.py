@@ -74,16 +74,19 @@ def top_pairs(lines: DataFrame, order: str, item: str, n: int,
     the items."""
     entries = lines.select(F.col(order).alias("order"), F.col(item).alias("item")) \
         .where(F.col("order").isNotNull() & F.col("item").isNotNull())
-    large = (
-        entries.groupBy("order").agg(F.count(F.lit(1)).alias("lines"))
-        .where(F.col("lines") > large_order).select("order")
-    )
+    sizes = entries.groupBy("order").agg(F.count(F.lit(1)).alias("lines"))
+    # Most orders of a shop are a single line and end here.
+    ordinary = sizes.where(F.col("lines").between(2, large_order)).select("order")
+    large = sizes.where(F.col("lines") > large_order).select("order")
     small_counts = _counted(
         _pairs_of(
-            entries.join(large, "order", "left_anti")
+            entries.join(ordinary, "order", "left_semi")
             .groupBy("order").agg(F.sort_array(F.collect_set("item")).alias("members")),
             "order")
         .select("order", F.col("left").alias("a"), F.col("right").alias("b")))
+    # Never null: naming the column here keeps it in all three uses below, which
+    # then share one aggregation.
+    small_counts = small_counts.where(F.col("first_order").isNotNull())
 
     # What a pair needs from ordinary orders to have a chance: the n-th best
     # count there, less one for each large order. Fewer than n pairs say nothing.

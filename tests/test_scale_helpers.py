@@ -38,7 +38,7 @@ def _skewed_orders(seed):
     (4, 5, 3, 2),           # most orders are large
     (5, 20_000, 50, 50),    # more pairs asked for than there are
     (6, 20, 100_000, 10),   # none is large
-    (7, 50, 0, 40),         # all are
+    (7, 50, 1, 40),         # all with a pair are
 ])
 def test_top_pairs(spark, seed, n, large, block):
     orders = _skewed_orders(seed)
