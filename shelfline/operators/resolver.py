@@ -117,7 +117,10 @@ def _candidates(strings: DataFrame, postings: DataFrame) -> DataFrame:
     A pair is emitted only at the first trigram it shares, so no pair is emitted
     twice and none is shuffled.
     """
-    probes = strings.select(
+    # The search costs much time per byte, so its partitions must not be merged
+    # for being small: with a number given they are kept.
+    partitions = int(strings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    probes = strings.repartition(partitions).select(
         "identifier", "grams", "n", "need",
         F.explode(F.slice("grams", F.lit(1), F.col("n") - F.col("need") + 1)).alias("gram"))
     common = F.array_intersect("grams", "name_grams")
