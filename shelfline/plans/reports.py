@@ -91,8 +91,8 @@ def kpi_summary(tables: Tables, start: str | date, end: str | date) -> DataFrame
     totals = lines.agg(
         revenue_sum().alias("revenue"), units_sum().alias("units"),
         F.countDistinct("order_id").alias("orders"), F.lit(0).cast("bigint").alias("rescued"))
-    # Only the few rescued ids are looked up; the window is not shuffled for it
-    # beyond what the join's run-time filter lets through.
+    # The ids are made distinct first, so that a much-copied register row is one
+    # row in the join; the lines take only their id and amount there.
     rescued = lines.join(rescued_transactions(tables.raw_pos), "transaction_id", "left_semi").agg(
         F.lit(0).cast("bigint").alias("revenue"), F.lit(0).cast("bigint").alias("units"),
         F.lit(0).cast("bigint").alias("orders"), revenue_sum().alias("rescued"))
@@ -352,3 +352,11 @@ REPORTS: dict[str, Callable[..., DataFrame]] = {
         product_scatter,
     )
 }
+
+
+def report(name: str, tables: Tables, **arguments) -> DataFrame:
+    """The report of that name, also under its name with "get_" in front."""
+    found = REPORTS.get(name.removeprefix("get_"))
+    if found is None:
+        raise ValueError(f"unknown report {name!r}, use one of {sorted(REPORTS)}")
+    return found(tables, **arguments)

@@ -4,9 +4,9 @@ The same cleaning functions as in the batch run, on file streams. Copies are
 recognised for as long as the watermark keeps their key, so the copy that
 arrives first wins, and a copy later than `late_by` is dropped as late data.
 
-Every micro-batch is written under its own number, first the deduplicated
-lines, then the clean rows made from them; a batch that is repeated after a
-failure replaces what it wrote before.
+Every micro-batch is written under its own number: the deduplicated lines, the
+resolution of their names, then the clean rows made from both. A batch that is
+repeated after a failure replaces what it wrote before.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfline import schemas
-from shelfline.operators import cleaning, enrich, resolver
+from shelfline.operators import cleaning, enrich, quality, resolver
 from shelfline.sources.tables import read_table
 
 
@@ -62,7 +62,15 @@ def distinct_lines(lines: DataFrame, late_by: str = "1 day") -> DataFrame:
     )
 
 
+def bad_lines(lines: DataFrame) -> DataFrame:
+    """The lines `distinct_lines` leaves out because their time is unreadable,
+    as a stream of their own."""
+    return quality.bad_timestamps(cleaning.parse_timestamps(lines))
+
+
 def _load_batch(root: str, scorer: resolver.Scorer | None):
+    aliases_path = f"{root}/product_alias"
+
     def load(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         lines_path = f"{root}/stream_lines/batch={number}"
@@ -71,9 +79,15 @@ def _load_batch(root: str, scorer: resolver.Scorer | None):
 
         products = read_table(spark, f"{root}/products", schemas.PRODUCTS)
         stores = read_table(spark, f"{root}/stores", schemas.STORES)
-        resolution = resolver.resolve_products(
+        resolution_path = f"{root}/stream_resolution/batch={number}"
+        resolver.resolve_products(
             cleaning.unmatched_identifiers(lines, products), products,
-            resolver.load_aliases(spark, f"{root}/product_alias"), scorer)
+            resolver.load_aliases(spark, aliases_path), scorer,
+        ).write.mode("overwrite").parquet(resolution_path)
+        resolution = spark.read.parquet(resolution_path)
+        if scorer is not None:
+            # What a user function found out is worth keeping for later batches.
+            resolver.save_aliases(resolution, aliases_path)
         clean = enrich.enrich(lines, enrich.product_lookup(products, resolution), stores)
         (
             clean.select(*schemas.TRANSACTION_COLUMNS)

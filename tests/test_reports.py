@@ -225,7 +225,11 @@ def test_rollups_add_up(tables):
 
 def test_registry_names_every_report(tables):
     assert len(reports.REPORTS) == 14
-    assert reports.REPORTS["kpi_summary"](tables, START, END).count() == 1
+    by_name = reports.report("get_kpi_summary", tables, start=START, end=END)
+    assert got(by_name) == got(reports.report("kpi_summary", tables, start=START, end=END))
+    assert reports.report("describe_data", tables).count() == 1
+    with pytest.raises(ValueError):
+        reports.report("get_everything", tables)
 
 
 def test_other_products_are_never_lost(tables):

@@ -152,3 +152,29 @@ def test_stream_equals_batch(spark, shop_dir):
     row = loaded.where("transaction_id = 'ECOM-WM-1-1'").first()
     assert (row.store_id, row.region, row.product_name) == ("FC-EAST", "Northeast", "Cola 12pk")
     assert loaded.agg(F.max("inserted_at")).first()[0] is not None
+
+    bad = ingest.bad_lines(ingest.pos_stream(spark, str(pos_dir)))
+    query = bad.writeStream.format("memory").queryName("bad_lines").trigger(availableNow=True).start()
+    query.awaitTermination(300)
+    assert [r.transaction_id for r in spark.table("bad_lines").collect()] == ["POS-5"]
+
+
+def test_stream_remembers_what_the_scorer_found(spark, shop_dir):
+    pos_dir, order_dir = shop_dir / "pos_in", shop_dir / "orders_in"
+    pos_dir.mkdir()
+    order_dir.mkdir()
+    (pos_dir / "1.csv").write_text(HEADER + "\n".join(POS_ROWS) + "\n")
+    root = str(shop_dir / "out")
+
+    def scorer(batches):
+        for batch in batches:
+            yield batch.assign(product_id="000000000005", score=0.6)
+
+    ingest.start(spark, str(pos_dir), str(order_dir), root, "90 days", scorer,
+                 availableNow=True).awaitTermination(300)
+    loaded = {r.transaction_id: r.product_id
+              for r in ingest.read_stream_output(spark, root).collect()}
+    assert loaded["POS-4"] == "000000000005"
+    known = {r.identifier: r.product_id
+             for r in spark.read.parquet(f"{root}/product_alias").collect()}
+    assert known == {"COLA 12PK": "000000000002", "MYSTERY": "000000000005"}
