@@ -26,13 +26,17 @@ def exact_medians(df: DataFrame, columns: list[str]) -> Column:
     def of_column(pick) -> Column:
         return F.coalesce(*[F.when(F.col("name") == c, pick(c)) for c in columns])
 
-    low = of_column(lambda c: F.get(ends.getField(c), F.lit(0)))
-    high = of_column(lambda c: F.get(ends.getField(c), F.lit(1)))
+    # Scalars are put in a column before their parts are used: every mention of
+    # a scalar is planned on its own.
     counts = (
         df.select(F.inline(F.array(*[
             F.struct(F.lit(c).alias("name"), value.alias("v")) for c, value in numbers.items()])))
         .where(F.col("v").isNotNull())
         .groupBy("name", "v").agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("ends", ends)
+        .select("name", "v", "rows",
+                of_column(lambda c: F.get(F.col("ends").getField(c), F.lit(0))).alias("low"),
+                of_column(lambda c: F.get(F.col("ends").getField(c), F.lit(1))).alias("high"))
     )
 
     def rows_where(condition: Column) -> Column:
@@ -40,17 +44,18 @@ def exact_medians(df: DataFrame, columns: list[str]) -> Column:
 
     sizes = counts.agg(F.struct(*[
         F.struct(rows_where(F.col("name") == c).alias("total"),
-                 rows_where((F.col("name") == c) & (F.col("v") < low)).alias("below")).alias(c)
-        for c in columns])).scalar()
-    total = of_column(lambda c: sizes.getField(c).getField("total"))
-    below = of_column(lambda c: sizes.getField(c).getField("below"))
+                 rows_where((F.col("name") == c) & (F.col("v") < F.col("low"))).alias("below"))
+        .alias(c) for c in columns])).scalar()
 
     so_far = Window.partitionBy("name").orderBy("v") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = (
-        counts.where(F.col("v").between(low, high))
-        .select("name", "v", total.alias("total"),
-                (below + F.sum("rows").over(so_far)).alias("rank"))
+        counts.where(F.col("v").between(F.col("low"), F.col("high")))
+        .withColumn("sizes", sizes)
+        .select("name", "v", "rows",
+                of_column(lambda c: F.col("sizes").getField(c)).alias("size"))
+        .select("name", "v", F.col("size.total").alias("total"),
+                (F.col("size.below") + F.sum("rows").over(so_far)).alias("rank"))
     )
 
     def at_rank(c: str, rank: Column) -> Column:

@@ -21,8 +21,10 @@ def product_quadrants(tables: Tables, start: str | date, end: str | date) -> Dat
     many = F.col("units_sold") >= F.col("median_units")
     rich = F.col("margin_per_unit") >= F.col("median_margin")
     return (
-        products.withColumn("median_units", medians.getField("units_sold"))
-        .withColumn("median_margin", medians.getField("margin_per_unit"))
+        products.withColumn("medians", medians)
+        .withColumn("median_units", F.col("medians.units_sold"))
+        .withColumn("median_margin", F.col("medians.margin_per_unit"))
+        .drop("medians")
         .withColumn("quadrant",
                     F.when(many & rich, F.lit("Stars"))
                     .when(rich, F.lit("Niche gems"))
