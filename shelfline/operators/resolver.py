@@ -152,9 +152,10 @@ def fuzzy_matches(identifiers: DataFrame, products: DataFrame,
         "name_key", F.col("grams").alias("name_grams"), "n",
         F.posexplode("grams").alias("place", "name_gram"),
     ).select("name_key", "name_grams", "name_gram", (F.col("n") - F.col("place")).alias("name_left"))
-    strings = _ranked_grams(
-        identifiers.where(~is_product_code(F.col("identifier"))),
-        "identifier", skeleton(F.col("identifier")), rarity)
+    # Codes have no trigrams. As a filter, that rule would move down to the feed
+    # and make it be read once more.
+    words = F.when(~is_product_code(F.col("identifier")), skeleton(F.col("identifier")))
+    strings = _ranked_grams(identifiers, "identifier", words, rarity)
 
     seeds = _candidates(strings.withColumn("need", _need(F.lit(SEED_SCORE))), postings)
     best_seed = seeds.groupBy("identifier").agg(F.max("shared").alias("seed_shared"))

@@ -16,19 +16,24 @@ BAD_TIME = "bad_time"
 
 # Where a run leaves its tables below its root directory.
 POS_STAGE, ORDER_STAGE = "raw_pos", "raw_orders"
-RESOLUTION, ALIASES = "resolution", "product_alias"
+UNMATCHED, RESOLUTION, ALIASES = "unmatched", "resolution", "product_alias"
 SALE_LINES = "sale_lines"
 
 
+def unmatched(raw_pos: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    """Distinct identifiers of both feeds that are no catalog id. Read from the
+    feeds directly: copies do not matter for a set of strings."""
+    seen = raw_pos.select(F.col("upc_or_name").alias("product_identifier")).unionByName(
+        orders.select(F.explode("items.sku").alias("product_identifier")))
+    return cleaning.unmatched_identifiers(seen, products)
+
+
 def resolve(raw_pos: DataFrame, orders: DataFrame, products: DataFrame,
             aliases: DataFrame | None = None,
             scorer: resolver.Scorer | None = None) -> DataFrame:
-    """Resolution of every distinct identifier that is no catalog id. Read from
-    the feeds directly: copies do not matter for a set of strings."""
-    seen = raw_pos.select(F.col("upc_or_name").alias("product_identifier")).unionByName(
-        orders.select(F.explode("items.sku").alias("product_identifier")))
-    unmatched = cleaning.unmatched_identifiers(seen, products)
-    return resolver.resolve_products(unmatched, products, aliases, scorer)
+    """Resolution of every identifier of the feeds that is no catalog id."""
+    return resolver.resolve_products(
+        unmatched(raw_pos, orders, products), products, aliases, scorer)
 
 
 def classified_lines(raw_pos: DataFrame, orders: DataFrame, products: DataFrame,
@@ -121,9 +126,14 @@ def run(spark: SparkSession, pos_path: str, orders_path: str, root: str,
     products = read_table(spark, f"{root}/products", schemas.PRODUCTS)
     stores = read_table(spark, f"{root}/stores", schemas.STORES)
 
+    # The strings are written before they are resolved: the rules read them
+    # several times, the feeds are read for them once.
+    unmatched(raw_pos, orders, products) \
+        .write.mode("overwrite").parquet(f"{root}/{UNMATCHED}")
     aliases = resolver.load_aliases(spark, f"{root}/{ALIASES}")
-    resolve(raw_pos, orders, products, aliases, scorer) \
-        .write.mode("overwrite").parquet(f"{root}/{RESOLUTION}")
+    resolver.resolve_products(
+        spark.read.parquet(f"{root}/{UNMATCHED}"), products, aliases, scorer,
+    ).write.mode("overwrite").parquet(f"{root}/{RESOLUTION}")
     resolution = spark.read.parquet(f"{root}/{RESOLUTION}")
     resolver.save_aliases(resolution, f"{root}/{ALIASES}")
 
