@@ -5,7 +5,7 @@ from shelfline import schemas
 from shelfline.functions.text import plain_name, skeleton, word_trigrams
 from shelfline.operators import resolver
 
-# A grocery catalog and what registers made of eight of its names.
+# A grocery catalog, and what registers made of eight of its names.
 CATALOG = [
     ("01", "Oreo Original 14.3oz"), ("02", "Oreo Double Stuf 14.3oz"),
     ("03", "Chips Ahoy Original 13oz"), ("04", "Keebler Chips Deluxe 11.3oz"),
