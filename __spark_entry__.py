@@ -19,6 +19,15 @@ from shelfline.plans import adhoc, clean_run, derived, reports  # noqa: E402
 from shelfline.session import configure  # noqa: E402
 from shelfline.sources import sample_views as views  # noqa: E402
 
+# The operators of the training-data pipeline are optional.
+try:
+    import corpus_pipeline  # noqa: E402
+    from shelfline.llm import queries as llm  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "shelfline.llm"):
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 W = (sql.START, sql.END)
 
@@ -248,11 +257,14 @@ def queries() -> dict[str, Query]:
         "reconciliation": _reconciliation,
     }
     found.update({name: _on_views(build) for name, build in on_views.items()})
+    if llm:
+        found.update(llm.QUERIES)
+        found["pipeline"] = corpus_pipeline.run
     return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return sql.oracle_sql()
+    return sql.oracle_sql() | (llm.ORACLE_SQL if llm else {})
 
 
 def entry(spark: SparkSession) -> DataFrame:
