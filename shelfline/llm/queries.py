@@ -6,8 +6,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfline.llm import common, simhash_dedup
+from shelfline.llm import common, decontamination, simhash_dedup
+
+
+def op1_decontamination(spark: SparkSession, root: str) -> DataFrame:
+    common.prepare(spark)
+    found = decontamination.judge(decontamination.find_matches(
+        common.table(spark, root, "documents"), common.table(spark, root, "benchmark"),
+        ["doc_id"], window=13))
+    names = F.sort_array(F.transform("items", lambda i: i.cast("string")))
+    return found.select("row.doc_id", "n_words", "n_hit",
+                        F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
+                        "contaminated")
 
 
 def op7_simhash_dedup(spark: SparkSession, root: str) -> DataFrame:
@@ -17,6 +30,39 @@ def op7_simhash_dedup(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_simhash_dedup,)}
+    f.__name__: f for f in (
+        op1_decontamination, op7_simhash_dedup)}
+
+WORDS = r"""regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP1_SQL = f"""
+WITH items AS (
+    SELECT item_id, w, least(len(w), 13) AS n
+    FROM (SELECT item_id, {WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+windows AS (
+    SELECT item_id, n, unnest([array_to_string(w[i:i + n - 1], ' ')
+                               FOR i IN range(1, len(w) - n + 2)]) AS gram FROM items),
+docs AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce({WORDS}, []) AS w FROM documents),
+grams AS (
+    SELECT r, n, unnest(range(1, len(w) - n + 2)) AS i,
+        unnest([array_to_string(w[i:i + n - 1], ' ') FOR i IN range(1, len(w) - n + 2)]) AS gram
+    FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n),
+hits AS (SELECT DISTINCT r, i, g.n, item_id FROM grams g JOIN windows USING (n, gram)),
+words AS (
+    SELECT r, count(DISTINCT i + j) AS n_hit
+    FROM (SELECT r, i, unnest(range(n)) AS j FROM hits) GROUP BY r),
+named AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM hits) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256,
+    coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM docs LEFT JOIN words USING (r) LEFT JOIN named USING (r)
+"""
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_decontamination": OP1_SQL,
+}
