@@ -5,10 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import common, decontamination, simhash_dedup
+from shelfline.llm import bpe, common, decontamination, huffman, simhash_dedup
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_decontamination(spark: SparkSession, root: str) -> DataFrame:
@@ -23,6 +26,19 @@ def op1_decontamination(spark: SparkSession, root: str) -> DataFrame:
                         "contaminated")
 
 
+def op4_huffman_ids(spark: SparkSession, root: str) -> DataFrame:
+    common.prepare(spark)
+    files = huffman.write_ids(common.table(spark, root, "documents"), TOKENIZER,
+                              common.shared_folder(spark), end_id=1)
+    return huffman.document_digests(spark, files)
+
+
+def op5_bpe(spark: SparkSession, root: str) -> DataFrame:
+    common.prepare(spark)
+    ids = bpe.encode(common.table(spark, root, "documents"), TOKENIZER)
+    return bpe.digests(bpe.decode(ids, TOKENIZER))
+
+
 def op7_simhash_dedup(spark: SparkSession, root: str) -> DataFrame:
     common.prepare(spark)
     return simhash_dedup.near_duplicates(common.table(spark, root, "documents"),
@@ -31,7 +47,7 @@ def op7_simhash_dedup(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_decontamination, op7_simhash_dedup)}
+        op1_decontamination, op4_huffman_ids, op5_bpe, op7_simhash_dedup)}
 
 WORDS = r"""regexp_extract_all(
     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
