@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, common, decontamination, huffman, simhash_dedup
+from shelfline.llm import bpe, common, decontamination, huffman, language_id, simhash_dedup
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -26,6 +26,14 @@ def op1_decontamination(spark: SparkSession, root: str) -> DataFrame:
                         "contaminated")
 
 
+def op3_language_id(spark: SparkSession, root: str) -> DataFrame:
+    common.prepare(spark)
+    docs = common.table(spark, root, "documents")
+    found = language_id.label(docs, language_id.fit(docs), ["doc_id"], with_runs=False)
+    return found.select("row.doc_id", language_id.held_out("row.doc_id").alias("held_out"),
+                        "lang_pred", "score")
+
+
 def op4_huffman_ids(spark: SparkSession, root: str) -> DataFrame:
     common.prepare(spark)
     files = huffman.write_ids(common.table(spark, root, "documents"), TOKENIZER,
@@ -47,7 +55,7 @@ def op7_simhash_dedup(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_decontamination, op4_huffman_ids, op5_bpe, op7_simhash_dedup)}
+        op1_decontamination, op3_language_id, op4_huffman_ids, op5_bpe, op7_simhash_dedup)}
 
 WORDS = r"""regexp_extract_all(
     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
