@@ -94,5 +94,7 @@ def components(edges: DataFrame) -> DataFrame:
                       .distinct())
         after = signature(links)
         if after == before:
-            return links.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            found = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            roots = found.select(F.col("component").alias("node"), "component").distinct()
+            return found.union(roots)
         before = after

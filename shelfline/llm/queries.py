@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, common, decontamination, huffman, language_id, simhash_dedup
+from shelfline.llm import bpe, common, decontamination, huffman, language_id, line_dedup, simhash_dedup
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -53,9 +53,17 @@ def op7_simhash_dedup(spark: SparkSession, root: str) -> DataFrame:
                                          shingle=3, most=3)
 
 
+def op10_line_dedup(spark: SparkSession, root: str) -> DataFrame:
+    common.prepare(spark)
+    found = line_dedup.dedup_lines(common.table(spark, root, "documents"),
+                                   most=3, similarity=0.8)
+    return found.select("row.doc_id", "row.text", "n_lines", "n_removed")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_decontamination, op3_language_id, op4_huffman_ids, op5_bpe, op7_simhash_dedup)}
+        op1_decontamination, op3_language_id, op4_huffman_ids, op5_bpe, op7_simhash_dedup,
+        op10_line_dedup)}
 
 WORDS = r"""regexp_extract_all(
     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
