@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, common, decontamination, huffman, language_id, line_dedup, simhash_dedup
+from shelfline.llm import bpe, common, decontamination, huffman, language_id, line_dedup, pii, simhash_dedup
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -53,6 +53,17 @@ def op7_simhash_dedup(spark: SparkSession, root: str) -> DataFrame:
                                          shingle=3, most=3)
 
 
+def op9_pii(spark: SparkSession, root: str) -> DataFrame:
+    common.prepare(spark)
+    found = pii.sanitise(common.table(spark, root, "documents"))
+    base = F.filter("spans", lambda x: x["kind"] < 4)
+    counts = [F.expr(f"cast(size(filter(spans, x -> x.kind = {k})) as bigint)").alias(f"n_{name}")
+              for k, name in enumerate(pii.KINDS)]
+    names = [*pii.KINDS, "term", "term"]
+    return found.select("doc_id", *counts, F.sha2(pii.as_text(base, names), 256)
+                        .alias("base_sha256"), pii.as_text(F.col("spans"), names).alias("spans"))
+
+
 def op10_line_dedup(spark: SparkSession, root: str) -> DataFrame:
     common.prepare(spark)
     found = line_dedup.dedup_lines(common.table(spark, root, "documents"),
@@ -62,7 +73,7 @@ def op10_line_dedup(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_decontamination, op3_language_id, op4_huffman_ids, op5_bpe, op7_simhash_dedup,
+        op1_decontamination, op3_language_id, op4_huffman_ids, op5_bpe, op7_simhash_dedup, op9_pii,
         op10_line_dedup)}
 
 WORDS = r"""regexp_extract_all(
