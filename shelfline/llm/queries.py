@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, common, decontamination, huffman, language_id, line_dedup, pii, simhash_dedup
+from shelfline.llm import ann, bpe, common, decontamination, huffman, language_id, line_dedup, pii, simhash_dedup
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -26,6 +26,12 @@ def op1_decontamination(spark: SparkSession, root: str) -> DataFrame:
                         "contaminated")
 
 
+def op2_ann(spark: SparkSession, root: str) -> DataFrame:
+    common.prepare(spark)
+    vectors = common.table(spark, root, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op3_language_id(spark: SparkSession, root: str) -> DataFrame:
     common.prepare(spark)
     docs = common.table(spark, root, "documents")
@@ -73,7 +79,7 @@ def op10_line_dedup(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_decontamination, op3_language_id, op4_huffman_ids, op5_bpe, op7_simhash_dedup, op9_pii,
+        op1_decontamination, op2_ann, op3_language_id, op4_huffman_ids, op5_bpe, op7_simhash_dedup, op9_pii,
         op10_line_dedup)}
 
 WORDS = r"""regexp_extract_all(
