@@ -9,7 +9,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import ann, bpe, common, decontamination, huffman, language_id, line_dedup, pii, simhash_dedup
+from shelfline.llm import (
+    ann,
+    bpe,
+    common,
+    decontamination,
+    huffman,
+    language_id,
+    line_dedup,
+    pii,
+    simhash_dedup,
+    url_filter,
+)
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -53,6 +64,12 @@ def op5_bpe(spark: SparkSession, root: str) -> DataFrame:
     return bpe.digests(bpe.decode(ids, TOKENIZER))
 
 
+def op6_url_filter(spark: SparkSession, root: str) -> DataFrame:
+    common.prepare(spark)
+    model = url_filter.train(url_filter.labelled_urls(spark))
+    return url_filter.judge(common.table(spark, root, "pages"), model)
+
+
 def op7_simhash_dedup(spark: SparkSession, root: str) -> DataFrame:
     common.prepare(spark)
     return simhash_dedup.near_duplicates(common.table(spark, root, "documents"),
@@ -79,7 +96,7 @@ def op10_line_dedup(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_decontamination, op2_ann, op3_language_id, op4_huffman_ids, op5_bpe, op7_simhash_dedup, op9_pii,
+        op1_decontamination, op2_ann, op3_language_id, op4_huffman_ids, op5_bpe, op6_url_filter, op7_simhash_dedup, op9_pii,
         op10_line_dedup)}
 
 WORDS = r"""regexp_extract_all(
