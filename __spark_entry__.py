@@ -93,8 +93,8 @@ def _store_routing(spark, root):
 
 
 def _unmatched(spark, root):
-    pos = cleaning.normalize_pos(views.raw_pos(spark, root))
-    return cleaning.unmatched_identifiers(pos, views.products(spark, root))
+    return clean_run.unmatched(views.raw_pos(spark, root), views.raw_orders(spark, root),
+                               views.products(spark, root))
 
 
 def _resolved_products(spark, root):
@@ -111,11 +111,10 @@ def _fuzzy_matches(spark, root):
 
 
 def _enriched(spark, root):
-    pos = cleaning.normalize_pos(views.raw_pos(spark, root))
-    lines = cleaning.keep_first_copy(cleaning.parse_timestamps(pos))
+    pos, orders = views.raw_pos(spark, root), views.raw_orders(spark, root)
+    lines = cleaning.clean_lines(pos, orders)
     products = views.products(spark, root)
-    resolution = resolver.resolve_products(
-        cleaning.unmatched_identifiers(pos, products), products)
+    resolution = clean_run.resolve(pos, orders, products)
     joined = enrich.enrich(
         lines, enrich.product_lookup(products, resolution), views.stores(spark, root))
     return _as_text(joined.select(*schemas.TRANSACTION_COLUMNS))
@@ -170,8 +169,7 @@ def _faulty_tables(spark, root) -> dict[str, DataFrame]:
 
 
 def _pk_report(spark, root):
-    keys = {t: k for t, k in schemas.PRIMARY_KEYS.items() if t != "forecasts"}
-    return quality.pk_report(_faulty_tables(spark, root), keys)
+    return quality.pk_report(_faulty_tables(spark, root), schemas.PRIMARY_KEYS)
 
 
 def _fk_report(spark, root):
@@ -227,7 +225,7 @@ def queries() -> dict[str, Query]:
         "category_top_margin": _report(derived.category_top_margin, *W),
         "ranked_top_products": _report(derived.ranked_top_products, *W),
         "delta_direction": _report(derived.delta_direction, *W),
-        "product_search": _report(derived.product_search, *W, "Ring"),
+        "product_search": _report(lambda t: derived.search_names(t.products, "Ring")),
         "sales_calendar": _report(derived.sales_calendar, *W),
         "raw_before": _report(adhoc.raw_before, with_ids=True),
         "raw_after": _report(adhoc.raw_after, with_ids=True),

@@ -308,9 +308,9 @@ FROM ({GROWTH.format(top=_top(10))})""")
         _forecast("category").split(WINDOW, 1)[1].split(FORECASTS, 1)[1].join([
             "SELECT category, revenue_delta_pct, CASE WHEN coalesce(revenue_delta_pct, 0) >= 0 "
             "THEN 'up' ELSE 'down' END AS direction FROM (", ")"]), FORECASTS)
-    sql["product_search"] = _window(f"""
+    sql["product_search"] = with_views("""
 SELECT *, CAST(instr(lower(product_name), 'ring') - 1 AS INTEGER) AS match_offset
-FROM ({_top(50)}) WHERE contains(lower(product_name), 'ring')""")
+FROM products WHERE contains(lower(product_name), 'ring')""")
     sql["sales_calendar"] = _window(f"""
 SELECT sale_date, units_sold, revenue,
        CAST(floor((CAST(sale_date AS DATE)
@@ -354,7 +354,7 @@ SELECT DISTINCT upc_or_name AS identifier, product_id, 'skeleton' AS method, CAS
 FROM raw_pos WHERE NOT regexp_full_match(upc_or_name, '[0-9]+')""", RAW_POS)
     sql["fuzzy_matches"] = with_views(
         "SELECT * FROM matched", RAW_POS, _brute_force_matches(MISTYPED))
-    sql["enriched"] = with_views(CLEAN + " WHERE channel = 'pos'")
+    sql["enriched"] = with_views(CLEAN)
     sql["clean_transactions"] = with_views(CLEAN)
     sql["run_summary"] = SUMMARY
 
@@ -371,7 +371,9 @@ SELECT 'transactions' AS table_name, 'transaction_id' AS key,
        (SELECT count(*) FROM tx WHERE {FAULT['copy']}) AS violations
 UNION ALL SELECT 'products', 'product_id', count(*) - count(DISTINCT product_id) FROM products
 UNION ALL SELECT 'stores', 'store_id', count(*) - count(DISTINCT store_id) FROM stores
-UNION ALL SELECT 'suppliers', 'supplier_id', count(*) - count(DISTINCT s_suppkey) FROM supplier""")
+UNION ALL SELECT 'suppliers', 'supplier_id', count(*) - count(DISTINCT s_suppkey) FROM supplier
+UNION ALL SELECT 'forecasts', 'forecast_id',
+  count(*) - count(DISTINCT (product_id, store_id, week_start)) FROM forecasts""", FORECASTS)
     sql["fk_report"] = with_views(f"""
 SELECT 'transactions' AS table_name, 'product_id' AS key,
        (SELECT count(*) FROM tx WHERE {FAULT['product']})

@@ -22,19 +22,12 @@ stores AS (
 
 # `tx` has the columns of `transactions` plus whole cents and the raw key parts.
 TX = """
-lines AS (
-  SELECT *, (l_partkey + l_suppkey + l_linenumber) % documents AS document
-  FROM (SELECT *, CAST(ceil(count(*) OVER (PARTITION BY l_orderkey) / 500.0) AS BIGINT)
-                  AS documents
-        FROM lineitem)
-),
 numbered AS (
   SELECT *, row_number() OVER (
-              PARTITION BY l_orderkey, document
+              PARTITION BY l_orderkey
               ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS rn,
-         CAST(l_orderkey AS VARCHAR)
-           || CASE WHEN documents > 1 THEN '.' || document ELSE '' END AS order_text
-  FROM lines
+         CAST(l_orderkey AS VARCHAR) AS order_text
+  FROM lineitem
 ),
 keyed AS (
   SELECT n.*, o.o_custkey, o.o_orderdate, o.o_orderkey % 10 AS kind,

@@ -8,15 +8,27 @@ from pyspark.sql import functions as F
 from shelfline import schemas
 
 # A clock time with its offset: "2026-03-15T14:22:10Z", "...+05:30".
-_ISO_WITH_OFFSET = r"T.*(Z|z|[+-]\d{2}(:?\d{2})?)$"
+_ISO_WITH_OFFSET = r"T.*(Z|[+-]\d{2}(:?\d{2})?)$"
+# Other shapes of ISO 8601 times, each with the extended form it is brought to:
+# small z, basic date, basic time, no seconds.
+_ISO_SHAPES = [
+    (r"z$", "Z"),
+    (r"^(\d{4})(\d{2})(\d{2})T", "$1-$2-$3T"),
+    (r"T(\d{2})(\d{2})(?=\d{2}|Z|[+-]|$)", "T$1:$2:"),
+    (r":(?=Z|[+-]|$)", ""),
+    (r"(T\d{2}:\d{2})(?=Z|[+-]|$)", "$1:00"),
+]
 
 # The columns a duplicate shares with the row it repeats.
 COPY_KEY = ["transaction_id", "product_identifier", "store_id"]
 
 
 def explode_orders(orders: DataFrame) -> DataFrame:
-    """One row per order item; an order without items yields none."""
-    items = orders.select("*", F.posexplode("items").alias("item_index", "item"))
+    """One row per order item; an order without items yields none. A long order
+    may come in several documents, each with the index of its `first_item`."""
+    first = F.col("first_item") if "first_item" in orders.columns else F.lit(0)
+    items = orders.select("*", F.posexplode("items").alias("place", "item")).withColumn(
+        "item_index", F.col("place") + first)
     return items.select(
         F.concat(F.lit("ECOM-"), "order_id", F.lit("-"),
                  F.col("item_index").cast("string")).alias("transaction_id"),
@@ -63,9 +75,11 @@ def parse_time(raw: Column) -> Column:
     an offset if it has a "T", month/day/year if it has a slash, else
     year-month-day. Padded and unpadded numbers are both accepted.
     """
+    iso = raw
+    for shape, extended in _ISO_SHAPES:
+        iso = F.regexp_replace(iso, shape, extended)
     return (
-        F.when(raw.contains("T"),
-               F.when(raw.rlike(_ISO_WITH_OFFSET), F.try_to_timestamp(raw)))
+        F.when(raw.contains("T"), F.when(iso.rlike(_ISO_WITH_OFFSET), F.try_to_timestamp(iso)))
         .when(raw.contains("/"), F.try_to_timestamp(raw, F.lit("M/d/yyyy H:m")))
         .otherwise(F.try_to_timestamp(raw, F.lit("yyyy-M-d H:m:s")))
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfline import schemas
 from shelfline.operators import cleaning, enrich, resolver
+from shelfline.session import configure
 from shelfline.sources import raw, staging
 from shelfline.sources.tables import read_table, read_transactions, write_lines
 
@@ -92,7 +93,9 @@ def run_summary(lines: DataFrame, orders: DataFrame, resolution: DataFrame) -> D
     by_identifier = resolution.agg(
         F.count(F.lit(1)).alias("unmatched_identifiers"),
         F.count_if(F.col("product_id") != resolver.UNKNOWN).alias("resolutions_made"))
-    by_order = orders.agg(F.count(F.lit(1)).alias("raw_orders"))
+    # An order in several documents is one order.
+    first = F.col("first_item") == 0 if "first_item" in orders.columns else F.lit(True)
+    by_order = orders.agg(F.count_if(first).alias("raw_orders"))
     return (
         _long(by_line).unionByName(_long(by_identifier)).unionByName(_long(by_order))
     )
@@ -117,6 +120,7 @@ def run(spark: SparkSession, pos_path: str, orders_path: str, root: str,
     Every stage ends in a written table, so a lost executor costs at most the
     stage it was in, and the counters are counted in the written table.
     """
+    configure(spark)
     pos_stage, order_stage = f"{root}/{POS_STAGE}", f"{root}/{ORDER_STAGE}"
     staging.stage_pos(raw.read_pos_csv(spark, pos_path), pos_stage, "overwrite")
     staging.stage_orders(

@@ -30,13 +30,13 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int,
-                  partition_bytes: int = 1 << 30, most: int = 100_000) -> SparkSession:
+                  partition_bytes: int = 256 << 20) -> SparkSession:
     """Start shuffles of a job over `input_bytes` with partitions of about
     `partition_bytes`; what turns out small is merged again at run time."""
     wanted = -(-input_bytes // partition_bytes)
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-                   str(min(max(wanted, floor), most)))
+                   str(max(wanted, floor)))
     return spark
 
 

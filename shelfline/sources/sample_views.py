@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from shelfline import schemas
 from shelfline.functions.money import to_price
 
-# No order document holds many more items than this; a longer order goes on in
-# further documents. Real orders are far shorter.
-DOCUMENT_ITEMS = 500
+# Items in a document of the order feed; a longer order goes on in further
+# documents with its id and the index of their first item.
+ITEMS_PER_DOCUMENT = 500
+# Lines of an order are counted by stretches of so many product numbers.
+_STRETCH = 64
 
 _NUMBER_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 
@@ -134,35 +136,25 @@ def _joined(spark: SparkSession, root: str, orders: DataFrame) -> DataFrame:
 
 
 def _numbered(spark: SparkSession, root: str) -> DataFrame:
-    """Sale lines with their number `rn` in the order document, ids and times."""
-    sizes = (
-        _read(spark, root, "lineitem").groupBy("l_orderkey")
-        .agg(F.count(F.lit(1)).alias("order_lines"))
-    )
-    orders = _orders(spark, root)
-    sized = (
-        orders.join(sizes, orders.o_orderkey == sizes.l_orderkey)
-        .drop("l_orderkey")
-        .withColumn("documents",
-                    F.ceil(F.col("order_lines") / DOCUMENT_ITEMS).cast("bigint"))
-    )
-    # A very long order is spread over documents before its lines are numbered,
-    # so the numbering sorts no more than a document at a time.
-    document = (F.col("l_partkey") + F.col("l_suppkey") + F.col("l_linenumber")) \
-        % F.col("documents")
-    # An order has one date; naming it here lets a date filter pass below the
-    # numbering.
-    in_document = Window.partitionBy("l_orderkey", "document", "sale_date") \
-        .orderBy(*_NUMBER_ORDER)
+    """Sale lines with their number `rn` in the order, ids and times."""
+    # An order of any size is numbered in many tasks: its lines are counted by
+    # stretches of the order they are numbered in, the counts before each stretch
+    # are added up, and only the lines of a stretch are sorted together. An order
+    # has one date; naming it in the keys lets a date filter pass below them.
+    stretch = F.floor(F.col("l_partkey") / _STRETCH)
+    lines = _joined(spark, root, _orders(spark, root)).withColumn("stretch", stretch)
+    keys = ["l_orderkey", "sale_date", "l_linenumber", "stretch"]
+    earlier = Window.partitionBy("l_orderkey", "sale_date") \
+        .orderBy("l_linenumber", "stretch").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = lines.groupBy(*keys).agg(F.count(F.lit(1)).alias("size")).select(
+        *keys, F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
+    in_stretch = Window.partitionBy(*keys).orderBy(*_NUMBER_ORDER)
     numbered = (
-        _joined(spark, root, sized)
-        .withColumn("document", document)
-        .withColumn("rn", F.row_number().over(in_document))
+        lines.withColumn("place", F.row_number().over(in_stretch))
+        .join(offsets, keys)
+        .withColumn("rn", (F.col("before") + F.col("place")).cast("int"))
     )
-    order_text = F.concat(
-        F.col("o_orderkey").cast("string"),
-        F.when(F.col("documents") > 1, F.concat(F.lit("."), F.col("document").cast("string")))
-        .otherwise(F.lit("")))
+    order_text = F.col("o_orderkey").cast("string")
     online = F.col("channel") == "ecommerce"
     by_minute = ~online & (F.col("o_orderkey") % 10).isin(4, 5)
     seconds = (F.col("o_orderkey") * 7919
@@ -187,11 +179,16 @@ def transactions(spark: SparkSession, root: str) -> DataFrame:
 def forecasts(spark: SparkSession, root: str) -> DataFrame:
     """Last year's sales of each product, store and week as this year's plan."""
     week = F.date_add(F.trunc("sale_date", "week"), 364)
+    # Product, store and week in one number.
+    store = F.coalesce(F.try_to_number(F.substring("store_id", 3, 3), F.lit("999")), F.lit(999))
+    weeks = F.floor(F.datediff("week_start", F.lit("1970-01-05").cast("date")) / 7)
+    number = (F.col("product_id").cast("bigint") * 1000 + store.cast("bigint")) * 10000 + weeks
     return (
         sales(spark, root).groupBy("product_id", "store_id", week.alias("week_start"))
         .agg(F.sum("quantity").cast("int").alias("forecasted_units"),
              F.sum(F.col("sale_price") * F.col("quantity")).cast("decimal(14,2)")
              .alias("forecasted_revenue"))
+        .withColumn("forecast_id", number.cast("bigint"))
     )
 
 
@@ -217,7 +214,7 @@ def raw_pos(spark: SparkSession, root: str) -> DataFrame:
         # One in twenty orders was sent twice, the second time after all others.
         F.explode(F.when(F.col("o_orderkey") % 20 == 7, F.array(F.lit(0), F.lit(1)))
                   .otherwise(F.array(F.lit(0)))).alias("resent"),
-        F.struct("l_orderkey", "document", "rn").alias("place"),
+        F.struct("l_orderkey", "rn").alias("place"),
     )
     return feed.withColumn(
         "ingest_order", F.struct("resent", "place.*")).drop("resent", "place")
@@ -229,7 +226,8 @@ def raw_orders(spark: SparkSession, root: str) -> DataFrame:
     items = F.array_sort(F.collect_list(F.struct(
         "rn", F.col("product_id").alias("sku"), F.col("quantity").alias("qty"),
         F.col("sale_price_cents").alias("unit_price_cents"))))
-    orders = lines.groupBy("l_orderkey", "document", "order_id").agg(
+    document = F.floor((F.col("rn") - 1) / ITEMS_PER_DOCUMENT)
+    orders = lines.groupBy("l_orderkey", document.alias("document"), "order_id").agg(
         F.min("sale_timestamp").alias("placed"),
         F.min("customer_id").alias("customer_id"),
         F.min("store_id").alias("store"),
@@ -246,7 +244,9 @@ def raw_orders(spark: SparkSession, root: str) -> DataFrame:
             F.lit(None).cast("string").alias("promo_code"))).alias("items"),
         F.when(pickup, F.lit("pickup")).otherwise(F.lit("delivery")).alias("fulfillment"),
         F.when(pickup, F.col("store")).alias("store_id"),
-        F.struct(F.lit(0).alias("resent"), "l_orderkey", "document", F.lit(0).alias("rn"))
+        (F.col("document") * ITEMS_PER_DOCUMENT).cast("int").alias("first_item"),
+        F.struct(F.lit(0).alias("resent"), "l_orderkey",
+                 (F.col("document") * ITEMS_PER_DOCUMENT).cast("int").alias("rn"))
         .alias("ingest_order"),
     )
 
@@ -282,7 +282,7 @@ class SampleTables:
 # Planted faults for the quality checks, by order number.
 
 def _order_number() -> Column:
-    return F.regexp_extract("transaction_id", r"-(\d+)(\.\d+)?-\d+$", 1).cast("bigint")
+    return F.regexp_extract("transaction_id", r"-(\d+)-\d+$", 1).cast("bigint")
 
 
 def with_null_stores(tx: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ def test_query_equals_sql_on_skewed_tables(spark, root, name):
 
 def test_no_order_document_grows_with_its_order(spark, root):
     sizes = sample_views.raw_orders(spark, root).selectExpr("size(items) AS n").collect()
-    assert max(r.n for r in sizes) < 2 * sample_views.DOCUMENT_ITEMS
+    assert max(r.n for r in sizes) < 2 * sample_views.ITEMS_PER_DOCUMENT
 
 
 def test_a_hot_join_key_is_split(spark, root):
