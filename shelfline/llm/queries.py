@@ -16,6 +16,7 @@ from shelfline.llm import (
     decontamination,
     huffman,
     language_id,
+    license_scan,
     line_dedup,
     pii,
     simhash_dedup,
@@ -76,6 +77,11 @@ def op7_simhash_dedup(spark: SparkSession, root: str) -> DataFrame:
                                          shingle=3, most=3)
 
 
+def op8_license_scan(spark: SparkSession, root: str) -> DataFrame:
+    common.prepare(spark)
+    return license_scan.scan(common.table(spark, root, "documents"), least=0.8)
+
+
 def op9_pii(spark: SparkSession, root: str) -> DataFrame:
     common.prepare(spark)
     found = pii.sanitise(common.table(spark, root, "documents"))
@@ -96,7 +102,7 @@ def op10_line_dedup(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_decontamination, op2_ann, op3_language_id, op4_huffman_ids, op5_bpe, op6_url_filter, op7_simhash_dedup, op9_pii,
+        op1_decontamination, op2_ann, op3_language_id, op4_huffman_ids, op5_bpe, op6_url_filter, op7_simhash_dedup, op8_license_scan, op9_pii,
         op10_line_dedup)}
 
 WORDS = r"""regexp_extract_all(
