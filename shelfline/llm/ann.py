@@ -30,11 +30,13 @@ class Search:
     fitted on and, with `per_list` of them for a list, the number of lists.
     `probes` is the share of the lists that a query looks at; embeddings without
     clusters need many. `pilot` vectors of the sample are a list that every
-    query probes; they give it the bound that its other scans start from."""
+    query probes; with the `first` nearest lists they give it the bound that its
+    other scans start from."""
     neighbours: int = 20
     probes: float = 0.65
     sample: int = 16_384
     pilot: int = 256
+    first: int = 4
     per_list: int = 64
     columns: int = 16
     error: float = 2.1
@@ -106,7 +108,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _assign(shared, probes: float, query: bool):
-    """Each vector's nearest list, or the lists that a query probes."""
+    """Each vector's nearest list, or the lists that a query probes, nearest first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = shared.value
         for batch in batches:
@@ -114,8 +116,7 @@ def _assign(shared, probes: float, query: bool):
                 continue
             far = _distances(lists.lift(_matrix(batch.column(1)), query), lists.centres)
             n = max(1, int(np.ceil(probes * far.shape[1])))
-            near = np.argpartition(far, n - 1, axis=1)[:, :n] if n < far.shape[1] else \
-                np.tile(np.arange(n), (len(far), 1))
+            near = far.argsort(axis=1, kind="stable")[:, :n]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(near.tolist(), pa.list_(pa.int32()))],
                 names=["vec_id", "v", "lists"])
@@ -154,7 +155,6 @@ def _search_groups(shared, search: Search):
     """Of each block of a list and of queries: each query's nearest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = shared.value
-        pilot = lists.lift(lists.pilot, query=False)
         for batch in batches:
             queries, ids, scores = [], [], []
             for group, asked in zip(batch.column("members"), batch.column("queries"), strict=True):
@@ -163,16 +163,17 @@ def _search_groups(shared, search: Search):
                 names = asked.values.field("vec_id").to_numpy()
                 wanted = _matrix(asked.values.field("v"))
                 lifted = lists.lift(wanted, query=True)
-                # One more than asked for, since the query may be among them.
                 k = search.neighbours
-                bound = np.full(len(names), np.inf)
-                if len(pilot) > k:
-                    bound = np.partition(_distances(lifted, pilot), k, axis=1)[:, k]
+                bound = asked.values.field("bound").to_numpy()
                 row, place = scan(lists.lift(vectors, query=False), lifted, bound,
                                   search.columns, search.error)
                 other = members[place] != names[row]
                 row, place = row[other], place[other]
                 exact = (vectors[place] * wanted[row]).sum(axis=1)
+                # The distance test again, on the exact product.
+                least = (lists.limit + (wanted * wanted).sum(axis=1) - bound) / 2
+                near = exact >= least[row] - 1e-9
+                row, place, exact = row[near], place[near], exact[near]
                 order = np.lexsort((members[place], -exact, row))
                 row, place, exact = row[order], place[order], exact[order]
                 nth = np.arange(len(row)) - np.searchsorted(row, row)
@@ -233,7 +234,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, search: Search = Search(),
         "vec_id", "v", F.col("lists")[0].alias("list")))
     probing = common.stash(asked.select("vec_id", "v").mapInArrow(
         _assign(shared, search.probes, query=True), kind).select(
-        "vec_id", "v", F.explode("lists").alias("list")))
+        "vec_id", "v", F.posexplode("lists").alias("place", "list")))
 
     def blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
         """Rows with a block of their list, dealt by a hash of the id."""
@@ -249,18 +250,35 @@ def nearest(vectors: DataFrame, queries: DataFrame, search: Search = Search(),
             F.ceil(F.count(F.lit(1)) / other_size).cast("int").alias("copies")))
         return blocks(rows, size, name).join(counts, "list").withColumn(
             other_name, F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-    row = F.struct("vec_id", "v")
-    keys = ["list", "block", "asked"]
-    members = cut(placed, LIST_BLOCK, "block", probing, QUERY_BLOCK, "asked").groupBy(*keys).agg(
-        F.collect_list(row).alias("members"))
-    wanted = cut(probing, QUERY_BLOCK, "asked", placed, LIST_BLOCK, "block").groupBy(*keys).agg(
-        F.collect_list(row).alias("queries"))
     pairs = "query_id long, vec_id long, score double"
-    found = members.join(wanted, keys).select("members", "queries").mapInArrow(
-        _search_groups(shared, search), pairs)
-    found = found.union(asked.select("vec_id", "v").mapInArrow(
-        _search_pilot(shared, search.neighbours), pairs)
-    ).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    keys = ["list", "block", "asked"]
+
+    def searched(wanted: DataFrame) -> DataFrame:
+        """The best vectors within its bound for each query and probed list block."""
+        members = cut(placed, LIST_BLOCK, "block", wanted, QUERY_BLOCK, "asked").groupBy(
+            *keys).agg(F.collect_list(F.struct("vec_id", "v")).alias("members"))
+        asking = cut(wanted, QUERY_BLOCK, "asked", placed, LIST_BLOCK, "block").groupBy(
+            *keys).agg(F.collect_list(F.struct("vec_id", "v", "bound")).alias("queries"))
+        return members.join(asking, keys).select("members", "queries").mapInArrow(
+            _search_groups(shared, search), pairs)
+
+    def bounded(found: DataFrame) -> DataFrame:
+        """Each query with the distance of the last of its nearest so far; without
+        a bound, if it has not found enough. With the score s it is the greatest
+        squared norm and the query's own, less 2 s."""
+        last = found.withColumn("nth", F.row_number().over(by_score)).where(
+            F.col("nth") == search.neighbours).select(
+            F.col("query_id").alias("of"), F.col("score").alias("last"))
+        norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+        return probing.join(last, F.col("vec_id") == F.col("of"), "left").select(
+            "vec_id", "v", "list", "place", F.coalesce(
+                lists.limit + norm - 2 * F.col("last"), F.lit(float("inf"))).alias("bound"))
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    pilot = asked.select("vec_id", "v").mapInArrow(_search_pilot(shared, search.neighbours), pairs)
+    first = common.stash(pilot.union(searched(
+        bounded(pilot).where(F.col("place") < search.first))).groupBy(
+        "query_id", "vec_id").agg(F.max("score").alias("score")))
+    found = first.union(searched(bounded(first).where(F.col("place") >= search.first))).groupBy(
+        "query_id", "vec_id").agg(F.max("score").alias("score"))
     return found.withColumn("rank", F.row_number().over(by_score)).where(
         F.col("rank") <= search.neighbours).select("query_id", "rank", "vec_id", "score")
