@@ -50,7 +50,7 @@ def test_all_lists_probed_is_exact_with_ties_and_norms(spark, monkeypatch):
     vectors |= {i: [1.0] * 8 for i in range(300, 420)}
     frame = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
     asked = [0, 20, 300, 419]
-    search = ann.Search(neighbours=5, probes=1.0, pilot=10, error=50.0)
+    search = ann.Search(neighbours=5, probes=1.0, pilot=10, first=2, per_list=20, error=50.0)
     found = lists(ann.nearest(frame, frame.where(frame.vec_id.isin(asked)), search).collect())
     want = brute(vectors, asked, 5)
     assert {q: [i for i, _ in v] for q, v in found.items()} == {
