@@ -180,7 +180,8 @@ ranked AS (SELECT *, row_number() OVER best AS place, lead(score) OVER best AS s
            FROM scored WINDOW best AS (PARTITION BY identifier ORDER BY score DESC, name_key)),
 matched AS (SELECT identifier, product_id, score FROM ranked
             WHERE place = 1 AND n = 1 AND score >= 0.5
-              AND (second IS NULL OR score - second >= 0.1 - 1e-9))"""
+              AND (second IS NULL OR score - second >= 0.1 - 1e-9)
+              AND substr(name_key, 1, 1) = substr({BARE.format("identifier")}, 1, 1))"""
 
 
 DIRTY = "SELECT DISTINCT upc_or_name AS identifier FROM raw_pos WHERE NOT regexp_full_match(upc_or_name, '[0-9]+')"

@@ -110,6 +110,14 @@ def _ranked_grams(texts: DataFrame, key: str, text: Column, rarity: DataFrame) -
     )
 
 
+def _search_tasks(spark: SparkSession) -> int:
+    """As many tasks as shuffles start with, which follows the size of the input
+    once `session.size_shuffles` has set it, and no fewer than there are cores."""
+    start = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return max(int(start or spark.conf.get("spark.sql.shuffle.partitions")),
+               spark.sparkContext.defaultParallelism)
+
+
 def _candidates(strings: DataFrame, postings: DataFrame) -> DataFrame:
     """(identifier, n, name_key, shared) for all names that share at least
     `need` of the string's trigrams.
@@ -119,8 +127,7 @@ def _candidates(strings: DataFrame, postings: DataFrame) -> DataFrame:
     """
     # The search costs much time per byte, so its partitions must not be merged
     # for being small: with a number given they are kept.
-    partitions = int(strings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    probes = strings.repartition(partitions).select(
+    probes = strings.repartition(_search_tasks(strings.sparkSession)).select(
         "identifier", "grams", "n", "need",
         F.explode(F.slice("grams", F.lit(1), F.col("n") - F.col("need") + 1)).alias("gram"))
     common = F.array_intersect("grams", "name_grams")
@@ -137,7 +144,9 @@ def _candidates(strings: DataFrame, postings: DataFrame) -> DataFrame:
 def fuzzy_matches(identifiers: DataFrame, products: DataFrame,
                   threshold: float = THRESHOLD, gap: float = GAP) -> DataFrame:
     """(identifier, product_id, score) for the strings whose best product scores
-    at least `threshold` and leads every other product by at least `gap`."""
+    at least `threshold` and leads every other product by at least `gap`. A
+    name that begins with another letter is not matched: registers shorten
+    names from behind, and "Diet" before a name is another product."""
     names = (
         products.select(skeleton(F.col("product_name")).alias("name_key"), "product_id")
         .where(F.length("name_key") > 0)
@@ -181,6 +190,8 @@ def fuzzy_matches(identifiers: DataFrame, products: DataFrame,
     return (
         best.where(clear)
         .join(names.where(F.col("products") == 1), "name_key")
+        .where(F.substring("name_key", 1, 1)
+               == F.substring(skeleton(F.col("identifier")), 1, 1))
         .select("identifier", "product_id", "score")
     )
 

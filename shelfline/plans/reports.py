@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions.dates import as_date, bucket_date, in_window, previous_window
 from shelfline.functions.money import (
-    cost_sum, dollars, mean_unit_margin, percent, ratio, revenue_sum, rounded, units_sum,
+    cost_sum, dollars, line_revenue, mean_unit_margin, percent, ratio, revenue_sum, rounded, units_sum,
 )
 from shelfline.functions.text import is_product_code
 from shelfline.operators.baskets import top_pairs
@@ -88,16 +88,14 @@ def kpi_summary(tables: Tables, start: str | date, end: str | date) -> DataFrame
     the register side is not limited to the window.
     """
     lines = _sales(tables, start, end)
-    totals = lines.agg(
-        revenue_sum().alias("revenue"), units_sum().alias("units"),
-        F.countDistinct("order_id").alias("orders"), F.lit(0).cast("bigint").alias("rescued"))
     # The ids are made distinct first, so that a much-copied register row is one
-    # row in the join; the lines take only their id and amount there.
-    rescued = lines.join(rescued_transactions(tables.raw_pos), "transaction_id", "left_semi").agg(
-        F.lit(0).cast("bigint").alias("revenue"), F.lit(0).cast("bigint").alias("units"),
-        F.lit(0).cast("bigint").alias("orders"), revenue_sum().alias("rescued"))
-    row = totals.unionByName(rescued).agg(*[
-        F.sum(c).alias(c) for c in ("revenue", "units", "orders", "rescued")])
+    # row in the join, and each line is read once, with its mark.
+    marked = rescued_transactions(tables.raw_pos).withColumn("is_rescued", F.lit(True))
+    rescued = F.sum(F.when(F.col("is_rescued"), line_revenue()))
+    row = lines.join(marked, "transaction_id", "left").agg(
+        revenue_sum().alias("revenue"), units_sum().alias("units"),
+        F.countDistinct("order_id").alias("orders"),
+        F.coalesce(rescued, F.lit(0)).alias("rescued"))
     return row.select(
         dollars(F.col("revenue")).alias("total_revenue"),
         F.col("units").alias("total_units_sold"),
@@ -143,21 +141,33 @@ def top_products(tables: Tables, start: str | date, end: str | date, n: int = 10
     equally long window before and the change in percent, null if there was no
     revenue then."""
     _check_count(n)
-    best = (
-        _sales(tables, start, end, category)
+    if not with_growth:
+        return (
+            _sales(tables, start, end, category)
+            .groupBy(*_PRODUCT)
+            .agg(dollars(revenue_sum()).alias("revenue"), units_sum().alias("units_sold"))
+            .orderBy(F.desc("revenue"), "product_id", "product_name")
+            .limit(n)
+        )
+    # Both windows, which adjoin, in one scan and one aggregation.
+    current = F.col("sale_date") >= F.lit(as_date(start))
+    cells = (
+        _sales(tables, previous_window(start, end)[0], end, category)
         .groupBy(*_PRODUCT)
-        .agg(dollars(revenue_sum()).alias("revenue"), units_sum().alias("units_sold"))
+        .agg(F.count_if(current).alias("lines"),
+             F.coalesce(F.sum(F.when(current, line_revenue())), F.lit(0)).alias("cents"),
+             F.coalesce(F.sum(F.when(current, F.col("quantity").cast("bigint"))), F.lit(0))
+             .alias("units_sold"),
+             F.coalesce(F.sum(F.when(~current, line_revenue())), F.lit(0)).alias("prior_cents"))
+    )
+    # A product may have had another name before.
+    prior = cells.groupBy("product_id").agg(dollars(F.sum("prior_cents")).alias("prior"))
+    best = (
+        cells.where(F.col("lines") > 0)
+        .select(*_PRODUCT, dollars(F.col("cents")).alias("revenue"), "units_sold")
         .orderBy(F.desc("revenue"), "product_id", "product_name")
         .limit(n)
     )
-    if not with_growth:
-        return best
-    # Of the earlier window only the lines of the n products are aggregated.
-    prior = (
-        _sales(tables, *previous_window(start, end), category)
-        .join(best.select("product_id"), "product_id", "left_semi")
-        .groupBy("product_id").agg(dollars(revenue_sum()).alias("prior"))
-    )
     before = F.coalesce("prior", F.lit(0.0))
     return (
         best.join(prior, "product_id", "left")
