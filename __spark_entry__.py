@@ -17,6 +17,7 @@ from shelfline import schemas  # noqa: E402
 from shelfline.operators import cleaning, enrich, quality, resolver  # noqa: E402
 from shelfline.plans import adhoc, clean_run, derived, reports  # noqa: E402
 from shelfline.session import configure  # noqa: E402
+from shelfline.sources import raw, tables  # noqa: E402
 from shelfline.sources import sample_views as views  # noqa: E402
 
 # The operators of the training-data pipeline are optional.
@@ -59,6 +60,40 @@ def _feed(spark: SparkSession, root: str) -> DataFrame:
         cleaning.explode_orders(views.raw_orders(spark, root)))
 
 
+def _pos_csv_parsed(spark, root):
+    pos = views.raw_pos(spark, root)
+    lines = pos.select(F.to_csv(F.struct(*schemas.RAW_POS.names)).alias("line"), "ingest_order")
+    return raw.parse_pos_lines(lines, "line", "ingest_order").drop("ingest_order")
+
+
+def _order_documents(spark, root) -> DataFrame:
+    orders = views.raw_orders(spark, root)
+    customer = F.struct(F.col("customer_id").alias("id"), "loyalty_tier").alias("customer")
+    return orders.select(F.to_json(F.struct(
+        "order_id", "placed_at", customer, "items", "fulfillment", "store_id")).alias("document"),
+        "ingest_order")
+
+
+def _orders_json_parsed(spark, root):
+    orders = raw.parse_order_documents(_order_documents(spark, root), "document", "ingest_order")
+    return orders.select("order_id", "placed_at", F.col("customer.id").alias("customer_id"),
+                         "fulfillment", "store_id", F.inline("items")).drop("promo_code")
+
+
+def _staged_orders(spark, root):
+    orders = raw.flatten_customer(raw.parse_order_documents(
+        _order_documents(spark, root), "document", "ingest_order"))
+    units = F.aggregate("items", F.lit(0).cast("bigint"), lambda n, i: n + i["qty"])
+    return orders.groupBy("order_id", "placed_at", "customer_id", "fulfillment", "store_id").agg(
+        F.sum(F.size("items")).alias("items"), F.sum(units).alias("units"))
+
+
+def _clean_table_casts(spark, root):
+    stored = tables.typed_lines(views.transactions(spark, root).withColumn(
+        "quantity", F.col("quantity").cast("string")))
+    return _as_text(stored).withColumn("sale_month", F.date_format("sale_month", "yyyy-MM-dd"))
+
+
 def _explode_orders(spark, root):
     return cleaning.explode_orders(views.raw_orders(spark, root)).drop("ingest_order")
 
@@ -234,6 +269,10 @@ def queries() -> dict[str, Query]:
         "rollup_reconciliation": _report(_rollup_reconciliation, with_ids=True),
     })
     on_views = {
+        "pos_csv_parsed": _pos_csv_parsed,
+        "orders_json_parsed": _orders_json_parsed,
+        "staged_orders": _staged_orders,
+        "clean_table_casts": _clean_table_casts,
         "explode_orders": _explode_orders,
         "normalized_union": _normalized_union,
         "parsed_timestamps": _parsed_timestamps,

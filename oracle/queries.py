@@ -205,6 +205,9 @@ SELECT transaction_id, order_id, product_id, product_name, category,
        quantity, {_PRICES}, store_id, region, customer_id, channel
 FROM tx"""
 
+ORDER_COLUMNS = """order_id, sale_timestamp_raw AS placed_at, customer_id,
+       CASE WHEN store_id IS NULL THEN 'delivery' ELSE 'pickup' END AS fulfillment, store_id"""
+
 # Sale lines of both feeds as they come in, copies included.
 FEED = """
 feed AS (
@@ -337,6 +340,17 @@ SELECT category, region, {UNITS} AS actual_units,
        CAST(sum(sale_cents * quantity) AS DOUBLE) / 100 AS actual_revenue
 FROM tx WHERE sale_date BETWEEN DATE '{WEEK_START}' AND DATE '{WEEK_END}' GROUP BY 1, 2""")
 
+    sql["pos_csv_parsed"] = with_views("""
+SELECT transaction_id, store_id, timestamp_raw, upc_or_name,
+       quantity, price_charged_cents FROM raw_pos""", RAW_POS)
+    sql["orders_json_parsed"] = _raw(f"SELECT {ORDER_COLUMNS}, product_identifier AS sku, "
+                                     "quantity AS qty, sale_price_cents AS unit_price_cents "
+                                     "FROM feed WHERE channel = 'ecommerce'")
+    sql["staged_orders"] = _raw(f"""
+SELECT {ORDER_COLUMNS}, count(*) AS items, CAST(sum(quantity) AS BIGINT) AS units
+FROM feed WHERE channel = 'ecommerce' GROUP BY ALL""")
+    sql["clean_table_casts"] = with_views(CLEAN.replace(
+        "FROM tx", ", strftime(date_trunc('month', sale_date), '%Y-%m-%d') AS sale_month FROM tx"))
     sql["explode_orders"] = _raw(f"SELECT {FEED_COLUMNS} FROM feed WHERE channel = 'ecommerce'")
     sql["normalized_union"] = _raw(f"SELECT {FEED_COLUMNS} FROM feed")
     sql["parsed_timestamps"] = _raw("""

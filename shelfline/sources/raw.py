@@ -47,6 +47,20 @@ def read_orders_json(spark: SparkSession, path: str | list[str],
     return raw.select("*", _file_order().alias("ingest_order"))
 
 
+def parse_pos_lines(feed: DataFrame, line: str, order: str) -> DataFrame:
+    """Register rows from a feed of CSV lines without a header, such as messages
+    of a queue; the column `order` is kept as their place in the feed."""
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.RAW_POS)
+    return feed.select(F.from_csv(line, ddl).alias("row"), F.col(order).alias("ingest_order")) \
+        .select("row.*", "ingest_order")
+
+
+def parse_order_documents(feed: DataFrame, document: str, order: str) -> DataFrame:
+    """Nested orders from a feed of JSON documents, as above."""
+    return feed.select(F.from_json(document, schemas.RAW_ORDERS).alias("row"),
+                       F.col(order).alias("ingest_order")).select("row.*", "ingest_order")
+
+
 def flatten_customer(orders: DataFrame) -> DataFrame:
     """Staging shape of an order: customer fields on top, items kept whole."""
     return orders.select(

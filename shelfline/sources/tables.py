@@ -49,13 +49,16 @@ def read_tables(spark: SparkSession, root: str) -> Tables:
     )
 
 
-def _stamped(lines: DataFrame, loaded_at: datetime, *extra: str) -> DataFrame:
-    """The columns of the clean table under their declared types."""
+def typed_lines(lines: DataFrame, *extra) -> DataFrame:
+    """The columns of the clean table under their declared types, and the month
+    that it is laid out by."""
     typed = [F.col(f.name).cast(f.dataType).alias(f.name)
              for f in schemas.TRANSACTIONS if f.name != "inserted_at"]
-    return lines.select(
-        *typed, *extra, F.lit(loaded_at).alias("inserted_at"),
-        F.trunc("sale_date", "month").alias("sale_month"))
+    return lines.select(*typed, *extra, F.trunc("sale_date", "month").alias("sale_month"))
+
+
+def _stamped(lines: DataFrame, loaded_at: datetime, *extra: str) -> DataFrame:
+    return typed_lines(lines, *extra, F.lit(loaded_at).alias("inserted_at"))
 
 
 def _write(rows: DataFrame, path: str, mode: str, *partitions: str) -> None:
