@@ -43,9 +43,14 @@ def classified_lines(raw_pos: DataFrame, orders: DataFrame, products: DataFrame,
     stands for, whether it was `routed` to the fulfillment center, and its
     `outcome`: loaded, or why not."""
     lines = cleaning.distinct_lines(raw_pos, orders, on_error)
+    return with_outcome(lines, enrich.product_lookup(products, resolution))
+
+
+def with_outcome(lines: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Parsed lines with their catalog columns, store, `routed` and `outcome`."""
     marked = cleaning.route_missing_stores(
         lines.withColumn("routed", cleaning.store_is_missing()))
-    known = enrich.join_products(marked, enrich.product_lookup(products, resolution), "left")
+    known = enrich.join_products(marked, lookup, "left")
     return known.withColumn(
         "outcome",
         F.when(F.col("product_id").isNull(), F.lit(UNKNOWN_PRODUCT))

@@ -1,12 +1,13 @@
 """Continuous ingestion of the raw feeds into the clean table.
 
-The same cleaning functions as in the batch run, on file streams. Copies are
-recognised for as long as the watermark keeps their key, so the copy that
-arrives first wins, and a copy later than `late_by` is dropped as late data.
+The same cleaning functions as in the batch run, on file streams. The copy that
+arrives first wins; its key is kept for `late_by` after that. The watermark is on
+the time of arrival, so no line is late, whatever its sale time is.
 
 Every micro-batch is written under its own number: the deduplicated lines, the
-resolution of their names, then the clean rows made from both. A batch that is
-repeated after a failure replaces what it wrote before.
+resolution of their names, then every line by its outcome, as in the batch run:
+loaded, or why not. A batch that is repeated after a failure replaces what it
+wrote before.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfline import schemas
-from shelfline.operators import cleaning, enrich, quality, resolver
-from shelfline.sources.tables import read_table
+from shelfline.operators import cleaning, enrich, resolver
+from shelfline.plans import clean_run
+from shelfline.sources.tables import read_table, typed_lines
 
 
 def _arrival() -> Column:
@@ -43,29 +45,10 @@ def order_stream(spark: SparkSession, path: str) -> DataFrame:
 
 
 def distinct_lines(lines: DataFrame, late_by: str = "1 day") -> DataFrame:
-    """Parsed lines without copies.
-
-    Copies are dropped twice: first among the rows one task has read, which
-    keeps a much-copied line from arriving in one place as often as it was
-    sent, then overall.
-    """
-    timed = (
-        cleaning.parse_timestamps(lines)
-        .where(F.col("sale_timestamp").isNotNull())
-        .withWatermark("sale_timestamp", late_by)
-        .withColumn("reader", F.spark_partition_id())
-    )
-    return (
-        timed.dropDuplicatesWithinWatermark([*cleaning.COPY_KEY, "reader"])
-        .drop("reader")
-        .dropDuplicatesWithinWatermark(cleaning.COPY_KEY)
-    )
-
-
-def bad_lines(lines: DataFrame) -> DataFrame:
-    """The lines `distinct_lines` leaves out because their time is unreadable,
-    as a stream of their own."""
-    return quality.bad_timestamps(cleaning.parse_timestamps(lines))
+    """Parsed lines without copies; lines with an unreadable time stay."""
+    timed = cleaning.parse_timestamps(lines).withColumn("arrived", F.current_timestamp())
+    return timed.withWatermark("arrived", late_by) \
+        .dropDuplicatesWithinWatermark(cleaning.COPY_KEY).drop("arrived")
 
 
 def _load_batch(root: str, scorer: resolver.Scorer | None):
@@ -75,7 +58,7 @@ def _load_batch(root: str, scorer: resolver.Scorer | None):
         spark = batch.sparkSession
         lines_path = f"{root}/stream_lines/batch={number}"
         batch.drop("ingest_order").write.mode("overwrite").parquet(lines_path)
-        lines = cleaning.route_missing_stores(spark.read.parquet(lines_path))
+        lines = spark.read.parquet(lines_path)
 
         products = read_table(spark, f"{root}/products", schemas.PRODUCTS)
         stores = read_table(spark, f"{root}/stores", schemas.STORES)
@@ -88,14 +71,14 @@ def _load_batch(root: str, scorer: resolver.Scorer | None):
         if scorer is not None:
             # What a user function found out is worth keeping for later batches.
             resolver.save_aliases(resolution, aliases_path)
-        clean = enrich.enrich(lines, enrich.product_lookup(products, resolution), stores)
+        known = clean_run.with_outcome(lines, enrich.product_lookup(products, resolution))
+        loaded_at = F.current_timestamp().alias("inserted_at")
         (
-            clean.select(*schemas.TRANSACTION_COLUMNS)
-            .withColumn("inserted_at", F.current_timestamp())
-            .withColumn("sale_month", F.trunc("sale_date", "month"))
-            .hint("rebalance", "sale_month")
+            typed_lines(clean_run.finished_lines(known, stores), "outcome", "routed", loaded_at)
+            .hint("rebalance", "outcome", "sale_month")
             .write.mode("overwrite").option("partitionOverwriteMode", "static")
-            .partitionBy("sale_month").parquet(f"{root}/stream_transactions/batch={number}")
+            .partitionBy("outcome", "sale_month")
+            .parquet(f"{root}/stream_transactions/batch={number}")
         )
     return load
 
@@ -119,4 +102,11 @@ def start(spark: SparkSession, pos_path: str, orders_path: str, root: str,
 
 def read_stream_output(spark: SparkSession, root: str) -> DataFrame:
     """Everything the stream has loaded so far."""
-    return spark.read.parquet(f"{root}/stream_transactions")
+    return spark.read.parquet(f"{root}/stream_transactions").where(
+        F.col("outcome") == clean_run.LOADED)
+
+
+def read_stream_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """The lines that the stream could not load, with their outcome."""
+    return spark.read.parquet(f"{root}/stream_transactions").where(
+        F.col("outcome") != clean_run.LOADED)

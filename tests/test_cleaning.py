@@ -82,6 +82,12 @@ def test_union_keeps_every_row(pos, orders):
     ("2026-03-15T14:22:10Z", "2026-03-15 14:22:10"),
     ("2026-03-15T23:30:00-05:00", "2026-03-16 04:30:00"),
     ("2026-03-15T04:00:00+05:30", "2026-03-14 22:30:00"),
+    ("2026-03-15T14:22Z", "2026-03-15 14:22:00"),
+    ("2026-03-15T14:22+0200", "2026-03-15 12:22:00"),
+    ("2026-03-15T14:22:10z", "2026-03-15 14:22:10"),
+    ("20260315T142210Z", "2026-03-15 14:22:10"),
+    ("20260315T1422Z", "2026-03-15 14:22:00"),
+    ("2026-03-15T14:22:10.5Z", "2026-03-15 14:22:10"),
     ("2026-03-15T14:22:10", None),        # no offset: not decidable
     ("2026-03-15", None),
     ("15/03/2026 10:00", None),
