@@ -12,6 +12,8 @@ import codecs
 import functools
 import json
 import re
+import sys
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -132,12 +134,19 @@ class MemoEncoder:
     def __init__(self, piece: Callable[[bytes], list[int]], other: Callable[[str], list[int]],
                  dtype: str = "<u4"):
         self.piece, self.other, self.dtype = piece, other, dtype
+        self.code = {"<u2": "H", "<u4": "I"}[dtype]
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
+    def _packed(self, ids: list[int]) -> bytes:
+        packed = array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
+
     def _piece(self, piece: str) -> bytes:
         if (found := self.pieces.get(piece)) is None:
-            found = np.array(self.piece(piece.encode()), self.dtype).tobytes()
+            found = self._packed(self.piece(piece.encode()))
             if len(piece) <= LONGEST_MEMO:
                 if len(self.pieces) >= MEMO:
                     self.pieces.clear()
@@ -148,7 +157,7 @@ class MemoEncoder:
         if _PLAIN.fullmatch(word):
             found = b"".join([self._piece(x) for x in _PIECES.findall(word.lower())])
         else:
-            found = np.array(self.other(word), self.dtype).tobytes()
+            found = self._packed(self.other(word))
         if len(word) <= LONGEST_MEMO:
             if len(self.words) >= MEMO:
                 self.words.clear()
