@@ -96,7 +96,7 @@ def op9_pii(spark: SparkSession, root: str) -> DataFrame:
 def op10_line_dedup(spark: SparkSession, root: str) -> DataFrame:
     common.prepare(spark)
     found = line_dedup.dedup_lines(common.table(spark, root, "documents"),
-                                   most=3, similarity=0.8)
+                                   most=None, similarity=0.8)
     return found.select("row.doc_id", "row.text", "n_lines", "n_removed")
 
 
