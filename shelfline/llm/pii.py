@@ -3,8 +3,8 @@
 The patterns find the protected values. How strongly a term reveals a value is
 estimated from their co-occurrence in the corpus: the pointwise mutual information
 as a share of the value's own information, log2(N / n), which is what removing
-the value should protect. Terms beside a value whose share reaches a threshold
-are removed from the documents that hold it; beyond a lower threshold they are
+the value should protect. Terms of a document that holds a value and whose share reaches
+a threshold are removed from it; beyond a lower threshold they are
 generalised. All is DataFrame operations.
 """
 
@@ -27,8 +27,8 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 KINDS = list(PATTERNS)
-# Terms beside a value: words of so many letters, so many on either side.
-REACH, WORDS, LETTERS = 120, 5, 3
+# Terms are words of so many letters. What fewer than SUPPORT rows show counts less.
+LETTERS = 3
 SUPPORT, GENERALISE, REMOVE = 3, 0.8, 0.9
 SPAN = "struct<kind:int,s:bigint,e:bigint,value:string>"
 
@@ -66,8 +66,14 @@ def _keeps(kind: str) -> Callable[[Column], Column]:
 
 def _spans(text: Column, pattern: Column, number: int) -> Column:
     """Matches of a pattern with their places, from the gaps between them."""
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    gaps = F.split(text, pattern, -1)
+    # Bound once: what a lambda names is computed again for each of its elements.
+    searched = F.struct(F.regexp_extract_all(text, pattern, F.lit(0)).alias("found"),
+                        F.split(text, pattern, -1).alias("gaps"))
+    return F.get(F.transform(F.array(searched), lambda x: _placed(x["found"], x["gaps"], number)),
+                 F.lit(0))
+
+
+def _placed(found: Column, gaps: Column, number: int) -> Column:
     start = F.struct(F.lit(0).cast("long").alias("at"),
                      F.expr(f"cast(array() as array<{SPAN}>)").alias("out"))
 
@@ -95,54 +101,57 @@ def with_base_spans(docs: DataFrame) -> DataFrame:
         *(f"_{k}" for k in KINDS))
 
 
-def _beside(text: Column, span: Column) -> Column:
-    """The words next to a span, without those that have a digit or an @ in
-    them or may be cut off."""
-    left = F.substring(text, F.greatest(F.lit(1), span["s"] - REACH + 1), F.least(
-        F.lit(REACH).cast("long"), span["s"]))
-    right = F.substring(text, span["e"] + 1, F.lit(REACH))
-
-    def words(part: Column) -> Column:
-        plain = F.regexp_replace(F.lower(part), r"\S*[0-9@]\S*", " ")
-        return F.regexp_extract_all(plain, F.lit(rf"\p{{L}}{{{LETTERS},}}+"), F.lit(0))
-    before = words(F.when(span["s"] > REACH, F.regexp_replace(left, r"^\S+", " ")).otherwise(left))
-    after = words(F.when(F.length(right) >= REACH, F.regexp_replace(right, r"\S+$", " "))
-                  .otherwise(right))
-    last = F.slice(F.reverse(before), 1, WORDS)
-    return F.array_distinct(F.concat(last, F.slice(after, 1, WORDS)))
+def _terms_of(text: Column) -> Column:
+    """The different words of letters in a text, in lower case."""
+    return F.array_distinct(F.regexp_extract_all(
+        F.lower(text), F.lit(rf"\p{{L}}{{{LETTERS},}}+"), F.lit(0)))
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame, support: int = SUPPORT,
+def disclosing_terms(docs: DataFrame, found: DataFrame, support: int = 1,
                      least: float = GENERALISE) -> DataFrame:
-    """Rows (value_key, term, share) of the terms that reveal a value.
+    """Rows (text_key, term, share) of the terms of a text that reveal a value in it,
+    with the largest share if they reveal several.
 
     `docs` has the rows (id, text) of the corpus, `found` those of them with a
-    span, and `base`. Every row is a context: n of a value, of a term, and of both
-    side by side count rows, over the whole corpus. The pair must have `support` rows.
+    span, with `text_key` and `base`. Every row is a context: n of a value, of a term,
+    and of both count rows, over the whole corpus, and every term of a row that
+    holds a value is a candidate. The pair must have `support` rows; with fewer than
+    SUPPORT, one more row is assumed to have the term without the value. A term has
+    a share of `least` only if n_term <= n_rows**(1 - least) * n_value**least, since
+    n_both <= n_value, so pairs beyond that are not counted.
     """
-    held = found.select("id", "text_key", "text", F.explode("base").alias("span")).select(
-        "id", "text_key", F.xxhash64("span.kind", F.lower("span.value")).alias("value_key"),
-        _beside(F.col("text"), F.col("span")).alias("terms"))
-    held = common.stash(held)
-    values = held.select("value_key", "id", "text_key").distinct().groupBy("value_key").agg(
-        F.count(F.lit(1)).alias("n_value"))
-    pairs = held.select("value_key", "id", "text_key", F.explode("terms").alias("term")).distinct()
-    pairs = common.stash(pairs.groupBy("value_key", "term").agg(F.count(F.lit(1)).alias("n_both"))
-                         .where(F.col("n_both") >= support))
-    words = F.array_distinct(F.regexp_extract_all(
-        F.lower("text"), F.lit(rf"\p{{L}}{{{LETTERS},}}+"), F.lit(0)))
-    terms = docs.select(F.explode(words).alias("term")).groupBy("term").agg(
-        F.count(F.lit(1)).alias("n_term"))
-    rows = docs.agg(F.count(F.lit(1)).alias("n_rows"))
-    shared = pairs.join(values, "value_key").join(terms, "term").join(F.broadcast(rows))
-    information = F.log2(F.col("n_rows") / F.col("n_value"))
-    mutual = F.log2(F.col("n_both") * F.col("n_rows") / (F.col("n_value") * F.col("n_term")))
-    return shared.where("n_value < n_rows").withColumn("share", F.least(
-        F.lit(1.0), mutual / information)).where(F.col("share") >= least).select(
-        "value_key", "term", "share")
-
-
-def sanitise(docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE,
+    n_rows = docs.count()
+    # The margin is for rounding alone; the share itself decides in the end.
+    bound = f"pow({max(n_rows, 1)}D, {1 - least}D) * pow(n_value, {least}D) * (1 + 1e-9D)"
+    valued = common.stash(found.select("text_key", F.explode(F.array_distinct(F.transform(
+        "base", lambda x: F.xxhash64(x["kind"], F.lower(x["value"]))))).alias("value_key"))
+        .groupBy("text_key", "value_key").agg(F.count(F.lit(1)).alias("copies")))
+    values = common.stash(valued.groupBy("value_key").agg(F.sum("copies").alias("n_value"))
+                          .where(f"n_value < {n_rows}"))
+    highest = values.agg(F.coalesce(F.max("n_value"), F.lit(0)).alias("n_value")).selectExpr(
+        f"{bound} AS highest")
+    terms = docs.select(F.explode(_terms_of(F.col("text"))).alias("term")).groupBy("term").agg(
+        F.count(F.lit(1)).alias("n_term")).join(F.broadcast(highest)).where(
+        "n_term <= highest").drop("highest")
+    worded = found.select("text_key", F.explode(_terms_of(F.col("text"))).alias("term")).distinct()
+    known = common.stash(worded.join(terms, "term"))
+    pairs = common.stash(known.join(
+        valued.join(common.broadcast_if_small(values), "value_key"), "text_key").where(
+        f"n_term <= {bound}"))
+    shared = pairs.groupBy("value_key", "term").agg(
+        F.sum("copies").alias("n_both"), F.first("n_value").alias("n_value"),
+        F.first("n_term").alias("n_term")).where(F.col("n_both") >= support)
+    seen = F.col("n_term") + F.when(F.col("n_both") < SUPPORT, 1).otherwise(0)
+    information = F.log2(F.lit(n_rows) / F.col("n_value"))
+    mutual = F.log2(F.col("n_both") * F.lit(n_rows) / (F.col("n_value") * seen))
+    shares = shared.withColumn("share", F.least(F.lit(1.0), mutual / information)).where(
+        F.col("share") >= least).select("value_key", "term", "share")
+    return pairs.select("text_key", "value_key", "term").join(
+        shares, ["value_key", "term"]).groupBy("text_key", "term").agg(
+        F.max("share").alias("share"))
+
+
+def sanitise(docs: DataFrame, support: int = 1, generalise: float = GENERALISE,
              remove: float = REMOVE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For each row of `docs`: doc_id, `spans` (kind, s, e, value; code points,
     the end exclusive; the kinds in order, then the terms, each by place) and
@@ -163,20 +172,16 @@ def sanitise(docs: DataFrame, support: int = SUPPORT, generalise: float = GENERA
     found = with_base_spans(rows).withColumn("text_key", F.xxhash64("text"))
     private = found.where("size(base) > 0")
     terms = disclosing_terms(rows, private, support, generalise)
-    held = private.select("id", "text_key", F.explode("base").alias("span")).select(
-        F.col("id").alias("of"), F.col("text_key").alias("of_text"),
-        F.xxhash64("span.kind", F.lower("span.value")).alias("value_key")).distinct()
-    listed = common.stash(held.join(common.stash(terms), "value_key").groupBy(
-        "of", "of_text", "term").agg(F.max("share").alias("share")).groupBy("of", "of_text").agg(
-        F.sort_array(F.collect_list(F.struct("term", "share"))).alias("terms")))
-    joined = private.join(listed, F.col("id").eqNullSafe(F.col("of"))
-                          & (F.col("text_key") == F.col("of_text")), "left")
+    listed = common.stash(terms.groupBy("text_key").agg(
+        F.sort_array(F.collect_list(F.struct("term", "share"))).alias("terms"))
+        .withColumnRenamed("text_key", "of_text").withColumn("strong", F.expr(
+            f"transform(filter(terms, t -> t.share >= {remove}D), t -> t.term)")))
+    joined = private.join(listed, F.col("text_key") == F.col("of_text"), "left")
     # Terms have letters only, so they can be put into a pattern as they are.
     any_term = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("terms.term", "|"),
                         F.lit(r")(?!\p{L})"))
     share = F.transform("at_terms", lambda x: F.struct(
-        F.when(F.exists("terms", lambda t: (t["term"] == F.lower(x["value"]))
-                        & (t["share"] >= remove)), 4).otherwise(5).alias("kind"),
+        F.when(F.array_contains("strong", F.lower(x["value"])), 4).otherwise(5).alias("kind"),
         x["s"].alias("s"), x["e"].alias("e"), x["value"].alias("value")))
     clear = F.filter(share, lambda x: ~F.exists(
         "base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))

@@ -81,3 +81,20 @@ def test_odd_documents(odd_documents, no_documents):
     assert len(found) == odd_documents.count()
     assert all(r.sanitised is not None for r in found)
     assert pii.sanitise(no_documents).count() == 0
+
+
+def test_terms_far_away_and_rare_values(spark):
+    """The signature, hundreds of words from the address, and the only holder's
+    name, joined to a digit, reveal values; words of all documents do not."""
+    common = "the end of all common things " * 60
+    rows = [(i, f"{i % 7} p.q@z.com {common} Zorrosign") for i in range(4)]
+    rows += [(4, f"Mustername2 {common} call +1 (212) 555-1234")]
+    rows += [(i, common) for i in range(5, 2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in pii.sanitise(docs).where("doc_id < 10").collect()}
+    for i in range(4):
+        assert [(x.kind, x.value) for x in found[i].spans] == [(0, "p.q@z.com"), (4, "Zorrosign")]
+    # One row: the estimate is log2(2000 / 2) / log2(2000) = 0.909.
+    assert [(x.kind, x.value) for x in found[4].spans] == [
+        (3, "+1 (212) 555-1234"), (4, "Mustername"), (4, "call")]
+    assert all(not found[i].spans for i in range(5, 10))
