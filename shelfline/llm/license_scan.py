@@ -27,7 +27,37 @@ MEMO = 100_000
 _WORD = re.compile("[0-9A-Za-z\x80-\U0010ffff]+")
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
-# Notices by which works state their license.
+_GPL = """This program is free software: you can redistribute it and/or modify it
+    under the terms of the GNU {} as published by the Free Software Foundation, either
+    version {} of the License, or (at your option) any later version."""
+_CC = "This work is licensed under a Creative Commons {} 4.0 International License."
+_AS_IS = """{} "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO,
+    THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+    DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT,
+    INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT
+    LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR
+    BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT,
+    STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE
+    USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_BSD = """Redistribution and use in source and binary forms, with or without modification,
+    are permitted provided that the following conditions are met: Redistributions of source code
+    must retain the above copyright notice, this list of conditions and the following disclaimer.
+    Redistributions in binary form must reproduce the above copyright notice, this list of
+    conditions and the following disclaimer in the documentation and/or other materials provided
+    with the distribution. """
+_ENDORSE = """Neither the name of the copyright holder nor the names of its contributors may be
+    used to endorse or promote products derived from this software without specific prior written
+    permission. """
+_HOLDERS = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS"
+# The tags that files carry, with the name of the license in the list of SPDX.
+SPDX = ["MIT", "Apache-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only",
+        "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only",
+        "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "BSD-2-Clause",
+        "BSD-3-Clause", "ISC", "Zlib", "MPL-2.0", "EPL-2.0", "CC0-1.0", "CC-BY-4.0",
+        "CC-BY-SA-4.0", "CC-BY-ND-4.0", "CC-BY-NC-4.0", "Unlicense"]
+
+# Notices by which works state their license, and whole texts of
+# licenses that are usually pasted whole.
 TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "MIT-permission": """Permission is hereby granted, free of charge, to any person obtaining
@@ -51,6 +81,56 @@ TEMPLATES = {
         are permitted provided that the following conditions are met:""",
     "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License,
         v. 2.0.""",
+    "rights-reserved": "All rights reserved.",
+    "GPL-2.0-header": _GPL.format("General Public License", "2"),
+    "LGPL-2.1-header": _GPL.format("Lesser General Public License", "2.1"),
+    "LGPL-3.0-header": _GPL.format("Lesser General Public License", "3"),
+    "AGPL-3.0-header": _GPL.format("Affero General Public License", "3"),
+    "CC-BY-SA-4.0": _CC.format("Attribution-ShareAlike"),
+    "CC-BY-ND-4.0": _CC.format("Attribution-NoDerivatives"),
+    "CC-BY-NC-4.0-notice": _CC.format("Attribution-NonCommercial"),
+    "CC0-1.0": """To the extent possible under law, the author has waived all copyright and
+        related or neighboring rights to this work.""",
+    "EPL-2.0": """This program and the accompanying materials are made available under the terms
+        of the Eclipse Public License 2.0""",
+    "MIT-text": """Permission is hereby granted, free of charge, to any person obtaining
+        a copy of this software and associated documentation files (the "Software"), to deal in
+        the Software without restriction, including without limitation the rights to use, copy,
+        modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and
+        to permit persons to whom the Software is furnished to do so, subject to the following
+        conditions: The above copyright notice and this permission notice shall be included in
+        all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS",
+        WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+        WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN
+        NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+        LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR
+        IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "BSD-2-Clause-text": _BSD + _AS_IS.format(_HOLDERS),
+    "BSD-3-Clause-text": _BSD + _ENDORSE + _AS_IS.format(_HOLDERS),
+    "ISC-text": """Permission to use, copy, modify, and/or distribute this software for any
+        purpose with or without fee is hereby granted, provided that the above copyright notice
+        and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE
+        AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED
+        WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY
+        SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING
+        FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER
+        TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS
+        SOFTWARE.""",
+    "Zlib-text": """This software is provided 'as-is', without any express or implied warranty.
+        In no event will the authors be held liable for any damages arising from the use of this
+        software. Permission is granted to anyone to use this software for any purpose, including
+        commercial applications, and to alter it and redistribute it freely, subject to the
+        following restrictions: 1. The origin of this software must not be misrepresented; you
+        must not claim that you wrote the original software. If you use this software in a
+        product, an acknowledgment in the product documentation would be appreciated but is not
+        required. 2. Altered source versions must be plainly marked as such, and must not be
+        misrepresented as being the original software. 3. This notice may not be removed or
+        altered from any source distribution.""",
+    "Unlicense-text": """This is free and unencumbered software released into the public domain.
+        Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software,
+        either in source code form or as a compiled binary, for any purpose, commercial or
+        non-commercial, and by any means.""",
+    **{f"SPDX {name}": f"SPDX-License-Identifier: {name}" for name in SPDX},
 }
 
 
@@ -99,6 +179,19 @@ class Index:
         self.template = np.array([t for _, t, _ in entries], np.int64)
         self.place = np.array([p for _, _, p in entries], np.int64)
 
+    def siblings(self, least: float) -> list[set[int]]:
+        """Of each template those of like length that a copy of it may pass for."""
+        out = [set() for _ in self.ids]
+        for a, x in enumerate(self.ids):
+            for b, y in enumerate(self.ids[:a]):
+                few = min(len(x), len(y))
+                if 2 * few >= max(len(x), len(y)) and len(np.intersect1d(x, y)) and align(
+                        x, np.concatenate([np.zeros(len(y), np.int64), y]), len(y)
+                        )[0] >= least * few:
+                    out[a].add(b)
+                    out[b].add(a)
+        return out
+
     def band(self, template: int) -> int:
         """Words by which a copy may be out of step."""
         return max(2, len(self.ids[template]) // 5)
@@ -150,6 +243,15 @@ def _candidates(ids: np.ndarray, index: Index) -> list[tuple[int, int]]:
 def _scan(shared, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, memo = Index(shared.value), {}
+        siblings = index.siblings(least)
+
+        def best(spans: set[tuple]) -> list[tuple]:
+            """The spans without those that a sibling in the same place fits better."""
+            def fit(x: tuple) -> tuple:
+                return x[3] / len(index.ids[x[2]]), x[3]
+            return sorted(x for x in spans if not any(
+                y[2] in siblings[x[2]] and y[0] <= x[1] and x[0] <= y[1] and fit(y) > fit(x)
+                for y in spans))
 
         def shard(rows: list[tuple]) -> pa.RecordBatch:
             sizes = np.array([len(x[2]) for x in rows], np.int64)
@@ -183,7 +285,7 @@ def _scan(shared, least: float):
                 name, text, _ = rows[doc]
                 places = [m.span() for m in _WORD.finditer(text)]
                 out += [(name, index.names[t], matched / len(index.ids[t]), matched,
-                         places[a][0], places[b][1]) for a, b, t, matched in sorted(spans)]
+                         places[a][0], places[b][1]) for a, b, t, matched in best(spans)]
             columns = list(zip(*out, strict=True)) or [()] * 6
             kinds = [pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
             return pa.RecordBatch.from_arrays(
@@ -213,7 +315,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
 
     A null or empty text has none; whole texts are scanned. Each row is scanned by
     itself, so repeated rows repeat their matches and null ids are allowed; a
-    text may match several templates in one place. Other columns are not read; an
+    text may match several templates in one place, but of templates that pass for each
+    other (as versions of a header do) only those that fit best. Other columns are not read; an
     empty table gives an empty result. The templates are a short list, checked to
     have at least GRAM words each.
     """

@@ -73,3 +73,29 @@ def test_odd_documents(odd_documents, no_documents):
     assert [r.doc_id for r in found].count(4) == 2 and {r.coverage for r in found} == {1.0}
     assert len(found) == 4
     assert license_scan.scan(no_documents).count() == 0
+
+
+def test_rights_tags_and_whole_texts(spark):
+    """Notices written out here, and whole texts, each of which is its own license
+    and not the one that differs by a word or a clause."""
+    plain = {"rights-reserved": "Copyright 2020 Someone. All rights reserved.",
+             "SPDX GPL-2.0-only": "// SPDX-License-Identifier: GPL-2.0-only",
+             "SPDX CC-BY-SA-4.0": "# SPDX-License-Identifier: CC-BY-SA-4.0",
+             "LGPL-3.0-header": license_scan.TEMPLATES["GPL-3.0-header"].replace(
+                 "GNU General", "GNU Lesser General")}
+    texts = {x: license_scan.TEMPLATES[x] for x in license_scan.TEMPLATES if x.endswith("-text")}
+    names = [*plain, *texts]
+    rows = [(i, f"foo bar.\n{(plain | texts)[x]}\nand more") for i, x in enumerate(names)]
+    found = {}
+    for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found.setdefault(names[r.doc_id], {})[r.license] = r.coverage
+    part = {"MIT-text": {"MIT-permission": 1}, "BSD-2-Clause-text": {"BSD": 1},
+            "BSD-3-Clause-text": {"BSD": 1}}
+    assert found == {x: {x: 1} | part.get(x, {}) for x in names}
+
+
+def test_rights_reserved_of_the_documents(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{ROOT}/documents.parquet").collect()}
+    want = {i for i, t in texts.items() if "All rights reserved." in (t or "")}
+    found = queries.op8_license_scan(spark, ROOT).where("license = 'rights-reserved'").collect()
+    assert want and {r.doc_id for r in found} == want
