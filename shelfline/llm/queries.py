@@ -14,12 +14,15 @@ from shelfline.llm import (
     bpe,
     common,
     decontamination,
+    hadamard_clusters,
+    hard_negatives,
     huffman,
     language_id,
     license_scan,
     line_dedup,
     pii,
     simhash_dedup,
+    source_mix,
     url_filter,
 )
 
@@ -100,10 +103,33 @@ def op10_line_dedup(spark: SparkSession, root: str) -> DataFrame:
     return found.select("row.doc_id", "row.text", "n_lines", "n_removed")
 
 
+def op11_hard_negatives(spark: SparkSession, root: str) -> DataFrame:
+    common.prepare(spark)
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(common.table(spark, root, "embeddings"),
+                               F.col("vec_id") % 50 == 0, relabel=label)
+
+
+def op12_hadamard_clusters(spark: SparkSession, root: str) -> DataFrame:
+    common.prepare(spark)
+    found, centres = hadamard_clusters.cluster(common.table(spark, root, "embeddings"))
+    return hadamard_clusters.with_inertia(found, centres).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+        F.sha2("centre", 256).alias("centroid_sha256"))
+
+
+def op13_source_mix(spark: SparkSession, root: str) -> DataFrame:
+    common.prepare(spark)
+    mixed = source_mix.mix(common.table(spark, root, "documents"), weights=(5, 2, 1), cap=3)
+    return mixed.select("row.doc_id", "size", "source_size", "target",
+                        (F.col("size") * F.col("copies")).alias("taken"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_decontamination, op2_ann, op3_language_id, op4_huffman_ids, op5_bpe, op6_url_filter, op7_simhash_dedup, op8_license_scan, op9_pii,
-        op10_line_dedup)}
+        op1_decontamination, op2_ann, op3_language_id, op4_huffman_ids, op5_bpe,
+        op6_url_filter, op7_simhash_dedup, op8_license_scan, op9_pii, op10_line_dedup,
+        op11_hard_negatives, op12_hadamard_clusters, op13_source_mix)}
 
 WORDS = r"""regexp_extract_all(
     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -135,6 +161,110 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM docs LEFT JOIN words USING (r) LEFT JOIN named USING (r)
 """
 
+_FINITE = """embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+OP11_SQL = f"""
+WITH kept AS (
+    SELECT row_number() OVER () AS r, vec_id,
+        CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings WHERE label IS NOT NULL AND {_FINITE}),
+scored AS (
+    SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r, b.vec_id, a.label = b.label AS alike,
+        CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) AS BIGINT)
+            AS score
+    FROM kept a JOIN kept b ON a.r <> b.r WHERE a.vec_id % 50 = 0),
+positives AS (
+    SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS place
+    FROM scored WHERE alike QUALIFY place <= 5),
+negatives AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id,
+        p.score AS positive_score, n.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor, p.place ORDER BY n.score DESC, n.vec_id) AS rank
+    FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.alike
+        AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score,
+    negative_score
+FROM negatives WHERE rank <= 3
+"""
+
+
+def _op12_sql(clusters: int = 8, rounds: int = 10) -> str:
+    """Every round spelled out: distances to all centroids, then exact means."""
+    parts = [f"""
+kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id,
+        list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings WHERE len(embedding) = 64 AND {_FINITE}),
+c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS cluster, v AS c FROM kept
+    QUALIFY cluster < {clusters})"""]
+    for i in range(rounds + 1):
+        parts.append(f"""
+a{i} AS MATERIALIZED (
+    SELECT r, cluster, d FROM (
+        SELECT r, cluster, CAST(list_sum(list_transform(range(1, 65),
+            lambda j: (v[j] - c[j]) * (v[j] - c[j]))) AS BIGINT) AS d FROM kept, c{i})
+    QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, cluster) = 1)""")
+        if i < rounds:
+            parts.append(f"""
+s{i} AS (
+    SELECT cluster, j, sum(x) AS t, count(*) AS n
+    FROM (SELECT cluster, unnest(v) AS x, unnest(range(64)) AS j FROM a{i} JOIN kept USING (r))
+    GROUP BY cluster, j),
+c{i + 1} AS MATERIALIZED (
+    SELECT cluster, coalesce(m, c) AS c FROM c{i} LEFT JOIN (
+        SELECT cluster, list(CAST((t - ((t % n) + n) % n) // n AS BIGINT) ORDER BY j) AS m
+        FROM s{i} GROUP BY cluster) USING (cluster))""")
+    return f"""WITH {",".join(parts)}
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, d AS distance,
+    CAST(sum(d) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+    CAST(sum(d) OVER () AS BIGINT) AS inertia,
+    sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN kept USING (r) JOIN c{rounds} USING (cluster)"""
+
+
+# Each pass of the recursion caps the sources whose share of the rest is above three times
+# their size.
+OP13_SQL = r"""
+WITH RECURSIVE docs AS MATERIALIZED (
+    SELECT doc_id, source, coalesce(text, '') AS t,
+        coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size
+    FROM documents),
+sources AS MATERIALIZED (
+    SELECT source, CAST(sum(size) AS BIGINT) AS s,
+        [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
+    FROM docs GROUP BY source),
+shares AS (
+    SELECT 0 AS pass, source, s, w, false AS capped, sum(s) OVER () AS rest, sum(w) OVER () AS ws
+    FROM sources
+    UNION ALL
+    SELECT pass + 1, source, s, w, now,
+        sum(s) OVER () - 3 * sum(CASE WHEN now THEN s ELSE 0 END) OVER (),
+        sum(CASE WHEN now THEN 0 ELSE w END) OVER ()
+    FROM (SELECT *, capped OR w * rest > 3 * s * ws AS now FROM shares
+          QUALIFY bool_or(now <> capped) OVER ())),
+targets AS (
+    SELECT source, s, CASE WHEN capped THEN 3.0::DOUBLE * s
+        ELSE CAST(w * rest AS DOUBLE) / CAST(ws AS DOUBLE) END AS target
+    FROM shares WHERE pass = (SELECT max(pass) FROM shares)),
+rates AS (
+    SELECT doc_id, size, s, target,
+        CASE WHEN s > 0 THEN least(target / CAST(s AS DOUBLE), 3.0::DOUBLE) ELSE 0.0::DOUBLE END
+            AS rate,
+        CAST('0x' || substr(sha256('13:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':'
+            || sha256(t)), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE AS coin
+    FROM docs JOIN targets ON docs.source IS NOT DISTINCT FROM targets.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, s AS source_size, target,
+    CAST(size * (floor(rate) + CASE WHEN coin < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT)
+        AS taken
+FROM rates
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": OP1_SQL,
+    "op11_hard_negatives": OP11_SQL,
+    "op12_hadamard_clusters": _op12_sql(),
+    "op13_source_mix": OP13_SQL,
 }

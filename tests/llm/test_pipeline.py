@@ -6,7 +6,7 @@ from shelfline.llm import common, queries
 def test_registered():
     names = list(entry.queries())
     assert [n for n in names if n.startswith("op")] == list(queries.QUERIES)
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == [*range(1, 11)]
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == [*range(1, 14)]
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
 
 
