@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import os
 import sys
 from collections.abc import Callable
@@ -14,19 +15,21 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from oracle import queries as sql  # noqa: E402
 from shelfline import schemas  # noqa: E402
+from shelfline.functions.dates import in_window  # noqa: E402
 from shelfline.operators import cleaning, enrich, quality, resolver  # noqa: E402
 from shelfline.plans import adhoc, clean_run, derived, reports  # noqa: E402
 from shelfline.session import configure  # noqa: E402
-from shelfline.sources import raw, tables  # noqa: E402
+from shelfline.sources import line_store, raw, tables  # noqa: E402
 from shelfline.sources import sample_views as views  # noqa: E402
+from shelfline.sources.tables import Tables  # noqa: E402
 
 # The operators of the training-data pipeline are optional.
 try:
     import corpus_pipeline  # noqa: E402
     from shelfline.llm import queries as llm  # noqa: E402
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "shelfline.llm"):
-        raise
+except ImportError as missing:
+    # Also where something they need is not installed: the other queries do without.
+    logging.getLogger(__name__).warning("no training-data operators: %s", missing)
     llm = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +83,29 @@ def _orders_json_parsed(spark, root):
                          "fulfillment", "store_id", F.inline("items")).drop("promo_code")
 
 
+def _pos_csv_rejects(spark, root):
+    checked = raw.check_pos_lines(views.pos_lines(spark, root), "line", "ingest_order")
+    return raw.rejected(checked)
+
+
+def _order_json_rejects(spark, root):
+    checked = raw.check_order_documents(
+        views.order_documents(spark, root), "document", "ingest_order")
+    return raw.rejected(checked).select(
+        "ingest_order", "reason", F.length("line").cast("bigint").alias("line_length"))
+
+
+def _feed_balance(spark, root):
+    """Lines that came in, by what became of them."""
+    def counted(feed: str, checked: DataFrame) -> DataFrame:
+        return checked.groupBy(F.coalesce("reason", F.lit("parsed")).alias("outcome")).agg(
+            F.count(F.lit(1)).alias("lines")).withColumn("feed", F.lit(feed))
+    return counted("pos", raw.check_pos_lines(
+        views.pos_lines(spark, root), "line", "ingest_order")).unionByName(
+        counted("orders", raw.check_order_documents(
+            views.order_documents(spark, root), "document", "ingest_order")))
+
+
 def _staged_orders(spark, root):
     orders = raw.flatten_customer(raw.parse_order_documents(
         _order_documents(spark, root), "document", "ingest_order"))
@@ -137,14 +163,15 @@ def _resolved_products(spark, root):
 
 
 def _fuzzy_matches(spark, root):
-    """Every dirty name with its third character lost, so no equality rule
-    can help."""
-    mistyped = _unmatched(spark, root).select(
-        F.concat(F.substring("identifier", 1, 2), F.expr("substring(identifier, 4)"))
-        .alias("identifier")).distinct()
+    mistyped = views.mistyped_names(spark, root).select("identifier").distinct()
     return resolver.fuzzy_matches(mistyped, views.products(spark, root))
 
 
+def _resolver_cascade(spark, root):
+    strings, aliases = views.register_strings(spark, root)
+    return resolver.resolve_products(strings, views.products(spark, root), aliases)
+
+
 def _enriched(spark, root):
     pos, orders = views.raw_pos(spark, root), views.raw_orders(spark, root)
     lines = cleaning.clean_lines(pos, orders)
@@ -166,7 +193,48 @@ def _run_summary(spark, root):
     products = views.products(spark, root)
     resolution = clean_run.resolve(pos, orders, products)
     lines = clean_run.classified_lines(pos, orders, products, resolution)
-    return clean_run.run_summary(lines, orders, resolution)
+    return clean_run.run_summary(lines, orders)
+
+
+def _two_loads(spark, root) -> tuple[DataFrame, DataFrame]:
+    """Register lines in two loads: the second begins before the first ends, brings
+    again what was sent twice, and has each price a cent higher."""
+    lines = cleaning.parse_timestamps(cleaning.normalize_pos(views.raw_pos(spark, root)))
+    again = F.col("ingest_order") >= 1 << 60
+    first = lines.where(~again & (F.col("sale_date") <= F.lit(sql.FIRST_LOAD_END)))
+    second = lines.where(F.col("sale_date") >= F.when(again, F.lit(sql.RESENT_START)).otherwise(
+        F.lit(sql.SECOND_LOAD_START)).cast("date")).withColumn(
+        "sale_price_cents", F.col("sale_price_cents") + 1)
+    first, second = (cleaning.keep_first_copy(load).withColumns({
+        "sale_month": F.trunc("sale_date", "month"), "first_run": F.lit(n)})
+        for n, load in enumerate((first, second), 1))
+    return first, second
+
+
+def _merged_load(spark, root):
+    return line_store.merge_lines(*_two_loads(spark, root)).select(
+        *cleaning.COPY_KEY, "sale_price_cents", "copies", "first_run")
+
+
+def _load_months(spark, root):
+    """Lines of each month after both loads, and those the second one added."""
+    first, second = _two_loads(spark, root)
+    touched = second.select("sale_month").distinct().withColumn("written", F.lit(True))
+    return line_store.merge_lines(first, second).groupBy("sale_month").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(F.col("first_run") == 2).alias("lines_added"),
+    ).join(touched, "sale_month", "left").select(
+        F.date_format("sale_month", "yyyy-MM-dd").alias("sale_month"), "lines", "lines_added",
+        F.coalesce("written", F.lit(False)).alias("written"))
+
+
+def _faulty_run_summary(spark, root):
+    """The counters of a run over feeds with every kind of fault."""
+    pos, orders = views.faulty_pos(spark, root), views.orders_with_empty_ones(spark, root)
+    products = views.products(spark, root)
+    resolution = clean_run.resolve(pos, orders, products)
+    lines = clean_run.classified_lines(pos, orders, products, resolution)
+    return clean_run.run_summary(lines, orders)
 
 
 def _null_violations(spark, root):
@@ -216,12 +284,13 @@ def _reconciliation(spark, root):
 
 
 def _rollup_reconciliation(tables) -> DataFrame:
-    total = reports.kpi_summary(tables, *W).select(F.col("total_revenue").alias("revenue"))
-    return quality.reconcile_rollups(
-        {"category": reports.category_breakdown(tables, *W),
-         "region": reports.sales_by_dimension(tables, *W, "region"),
-         "channel": reports.sales_by_dimension(tables, *W, "channel"),
-         "week": reports.revenue_vs_cost(tables, *W, "week")}, total)
+    lines = in_window(tables.transactions, *W).withColumn("week", F.trunc("sale_date", "week"))
+    return quality.reconcile_rollups(lines, ["category", "region", "channel", "week"])
+
+
+def _faulty_rollup_reconciliation(spark, root):
+    tx = views.with_null_regions(views.transactions(spark, root))
+    return _rollup_reconciliation(Tables(tx, *[None] * 4))
 
 
 def queries() -> dict[str, Query]:
@@ -266,11 +335,14 @@ def queries() -> dict[str, Query]:
         "raw_after": _report(adhoc.raw_after, with_ids=True),
         "week_category_region": _report(
             adhoc.week_category_region, sql.WEEK_START, sql.WEEK_END),
-        "rollup_reconciliation": _report(_rollup_reconciliation, with_ids=True),
+        "rollup_reconciliation": _report(_rollup_reconciliation),
     })
     on_views = {
         "pos_csv_parsed": _pos_csv_parsed,
         "orders_json_parsed": _orders_json_parsed,
+        "pos_csv_rejects": _pos_csv_rejects,
+        "order_json_rejects": _order_json_rejects,
+        "feed_balance": _feed_balance,
         "staged_orders": _staged_orders,
         "clean_table_casts": _clean_table_casts,
         "explode_orders": _explode_orders,
@@ -281,9 +353,13 @@ def queries() -> dict[str, Query]:
         "unmatched_ids": _unmatched,
         "resolved_products": _resolved_products,
         "fuzzy_matches": _fuzzy_matches,
+        "resolver_cascade": _resolver_cascade,
         "enriched": _enriched,
         "clean_transactions": _clean_transactions,
         "run_summary": _run_summary,
+        "faulty_run_summary": _faulty_run_summary,
+        "merged_load": _merged_load,
+        "load_months": _load_months,
         "null_violations": _null_violations,
         "pk_violations": _pk_violations,
         "domain_violations": _domain_violations,
@@ -292,6 +368,7 @@ def queries() -> dict[str, Query]:
         "fk_report": _fk_report,
         "bad_timestamps": _bad_timestamps,
         "reconciliation": _reconciliation,
+        "rollup_reconciliation_of_loss": _faulty_rollup_reconciliation,
     }
     found.update({name: _on_views(build) for name, build in on_views.items()})
     if llm:

@@ -76,7 +76,7 @@ def cleaning_queries(t: storage.Tables, orders) -> dict:
     def summary():
         resolution = clean_run.resolve(t.raw_pos, orders, t.products)
         lines = clean_run.classified_lines(t.raw_pos, orders, t.products, resolution)
-        return clean_run.run_summary(lines, orders, resolution)
+        return clean_run.run_summary(lines, orders)
     return {
         "clean_lines": lambda: cleaning.clean_lines(t.raw_pos, orders),
         "resolve_products": lambda: resolver.resolve_products(unmatched(), t.products),

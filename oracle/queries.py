@@ -164,28 +164,74 @@ GRAMS = """list_distinct(flatten(list_transform(
                            lambda i: substr('^' || w || '$', CAST(i AS INTEGER), 3)))))"""
 
 
+PLAIN = "trim(regexp_replace(lower({0}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+
+
 def _brute_force_matches(identifiers: str) -> str:
     """Every string against every product name, no blocking."""
     return f"""
-ids AS (SELECT identifier, {GRAMS.format(BARE.format("identifier"))} AS grams
-        FROM ({identifiers})),
+ids AS (SELECT identifier, bare, {GRAMS.format("bare")} AS grams,
+               {GRAMS.format("split_part(bare, ' ', 1)")} AS first_grams
+        FROM (SELECT identifier, {BARE.format("identifier")} AS bare FROM ({identifiers}))),
 names AS (SELECT name_key, min(product_id) AS product_id, count(*) AS n,
-                 {GRAMS.format("name_key")} AS name_grams
+                 {GRAMS.format("name_key")} AS name_grams,
+                 {GRAMS.format("split_part(name_key, ' ', 1)")} AS name_first
           FROM (SELECT {BARE.format("product_name")} AS name_key, product_id FROM products)
           GROUP BY name_key),
-scored AS (SELECT identifier, product_id, n, name_key,
-                  CAST(len(list_intersect(grams, name_grams)) AS DOUBLE) / len(grams) AS score
-           FROM ids, names WHERE len(grams) > 0),
+shared AS (SELECT identifier, name_key, count(*) AS shared
+           FROM (SELECT identifier, unnest(grams) AS gram FROM ids)
+           JOIN (SELECT name_key, unnest(name_grams) AS gram FROM names) USING (gram)
+           GROUP BY ALL),
+scored AS (SELECT identifier, product_id, n, name_key, name_grams, name_first, grams, first_grams,
+                  shared / (len(grams) + 0.2::DOUBLE * (len(name_grams) - shared)) AS score
+           FROM shared JOIN ids USING (identifier) JOIN names USING (name_key)),
 ranked AS (SELECT *, row_number() OVER best AS place, lead(score) OVER best AS second
            FROM scored WINDOW best AS (PARTITION BY identifier ORDER BY score DESC, name_key)),
 matched AS (SELECT identifier, product_id, score FROM ranked
             WHERE place = 1 AND n = 1 AND score >= 0.5
               AND (second IS NULL OR score - second >= 0.1 - 1e-9)
-              AND substr(name_key, 1, 1) = substr({BARE.format("identifier")}, 1, 1))"""
+              AND (list_has_any(name_first, grams) OR NOT list_has_any(first_grams, name_grams)))"""
+
+
+# Every product name with one of five mistakes.
+MISTYPED = """
+mistyped AS (
+  SELECT p_partkey, upper(CASE p_partkey % 5
+      WHEN 0 THEN 'z' || substr(name, 2)
+      WHEN 1 THEN regexp_replace(name, ' [a-z]+ ', ' ', 'g')
+      WHEN 2 THEN substr(name, 1, 2) || substr(name, 4, 1) || substr(name, 3, 1) || substr(name, 5)
+      WHEN 3 THEN regexp_replace(name, '([a-z]{3})[a-z]*', '\\1', 'g')
+      ELSE substr(name, 1, 3) || substr(name, 3) END) AS identifier
+  FROM (SELECT p_partkey, p_name || ' #' || p_partkey AS name FROM part)
+)"""
+REGISTER_STRINGS = f"""
+strings AS (
+  SELECT DISTINCT identifier FROM (
+    SELECT CASE p_partkey % 7 WHEN 0 THEN upper(replace(product_name, ' ', '-'))
+        WHEN 1 THEN regexp_replace(upper(product_name), '[AEIOU]', '', 'g')
+        WHEN 5 THEN 'Nr. ' || p_partkey || ' of old'
+        WHEN 6 THEN lpad(CAST(p_partkey AS VARCHAR), 13, '9') ELSE m.identifier END AS identifier
+    FROM mistyped m JOIN products ON product_id = lpad(CAST(p_partkey AS VARCHAR), 12, '0'))
+),
+by_name AS (SELECT {PLAIN.format("product_name")} AS plain, min(product_id) AS name_id
+            FROM products GROUP BY 1 HAVING count(*) = 1 AND plain <> ''),
+by_skeleton AS (SELECT {BARE.format("product_name")} AS bare, min(product_id) AS skeleton_id
+                FROM products GROUP BY 1 HAVING count(*) = 1 AND bare <> ''),
+ruled AS (
+  SELECT s.identifier, a.product_id AS alias_id,
+         CASE WHEN NOT regexp_full_match(s.identifier, '[0-9]+') THEN name_id END AS name_id,
+         CASE WHEN NOT regexp_full_match(s.identifier, '[0-9]+') THEN skeleton_id END
+           AS skeleton_id
+  FROM strings s
+  LEFT JOIN (SELECT 'Nr. ' || p_partkey || ' of old' AS identifier,
+                    lpad(CAST(p_partkey AS VARCHAR), 12, '0') AS product_id
+             FROM part WHERE p_partkey % 7 = 5) a ON a.identifier = s.identifier
+  LEFT JOIN by_name ON plain = {PLAIN.format("s.identifier")}
+  LEFT JOIN by_skeleton ON bare = {BARE.format("s.identifier")}
+)"""
 
 
 DIRTY = "SELECT DISTINCT upc_or_name AS identifier FROM raw_pos WHERE NOT regexp_full_match(upc_or_name, '[0-9]+')"
-MISTYPED = f"SELECT DISTINCT substr(identifier, 1, 2) || substr(identifier, 4) AS identifier FROM ({DIRTY})"
 
 FAULT = {
     "null": "l_orderkey % 101 = 0",
@@ -247,6 +293,95 @@ SELECT metric, CAST(value AS BIGINT) AS value FROM (UNPIVOT c ON COLUMNS(*) INTO
 """).replace("\n\n, c AS", ", c AS").replace("\n, c AS", ", c AS")
 
 
+# Lines of the register feed with planted faults, in the order the faults are tried.
+_POS_FIELDS = ("transaction_id", "store_id", "timestamp_raw", "upc_or_name",
+               "CAST(quantity AS VARCHAR)", "CAST(price_charged_cents AS VARCHAR)")
+
+
+def _pos_line(*changed: tuple[int, str]) -> str:
+    fields = [dict(changed).get(i, f) for i, f in enumerate(_POS_FIELDS)]
+    return " || ',' || ".join(fields)
+
+
+_POS_FAULTS = [
+    (113, " || ',' || ".join(_POS_FIELDS[:-1]), "field count"),
+    (127, _pos_line((4, "'two'")), "bad quantity"),
+    (131, _pos_line((5, "''")), "missing price_charged_cents"),
+    (137, _pos_line() + " || ',again'", "field count"),
+    (139, _pos_line((4, "'99999999999'")), "bad quantity"),
+    (149, _pos_line((0, "''")), "missing transaction_id"),
+    (151, "''", "missing transaction_id"),
+]
+_ORDER_FAULTS = [(113, "malformed", "- 10"), (127, "mistyped", ""),
+                 (131, "missing order_id", ""), (137, "missing items", ""),
+                 (139, "incomplete item", ""), (149, "missing order_id", "")]
+
+
+def _by_fault(column: int, faults: list[tuple]) -> str:
+    whens = " ".join(f"WHEN l_orderkey % {f[0]} = 0 THEN {f[column]}" for f in faults)
+    return f"CASE {whens} END"
+
+
+def _reason(faults: list[tuple], place: int) -> str:
+    return _by_fault(place, [(*f[:place], f"'{f[place]}'", *f[place + 1:]) for f in faults])
+
+
+POS_REJECTS = f"""
+pos_lines AS (
+  SELECT {_by_fault(1, _POS_FAULTS)} AS line, {_reason(_POS_FAULTS, 2)} AS reason,
+         resent * 1152921504606846976 + l_orderkey * 4194304 + rn AS ingest_order
+  FROM raw_pos
+)"""
+# The documents as JSON, items in line order, at most 500 of an order in one.
+ORDER_REJECTS = f"""
+documents AS (
+  SELECT l_orderkey, (rn - 1) // 500 AS document, any_value(fault) AS reason,
+         l_orderkey * 4194304 + document * 500 AS ingest_order,
+         '"order_id":"WM-' || l_orderkey || '",' AS id_part,
+         '"placed_at":"' || strftime(min(sale_timestamp), '%Y-%m-%dT%H:%M:%SZ')
+           || '","customer":{{"id":"' || min(customer_id) || '"}},' AS middle,
+         string_agg(CASE WHEN fault = 'incomplete item' THEN '{{' ELSE
+             '{{"sku":"' || product_id || '",' END || '"qty":'
+           || CASE WHEN fault = 'mistyped' THEN '"two"' ELSE CAST(quantity AS VARCHAR) END
+           || ',"unit_price_cents":' || sale_cents || '}}', ',' ORDER BY rn) AS items,
+         CASE WHEN min(store_id) = 'FC-EAST' THEN '"fulfillment":"delivery"}}'
+              ELSE '"fulfillment":"pickup","store_id":"' || min(store_id) || '"}}' END AS tail
+  FROM (SELECT *, {_reason(_ORDER_FAULTS, 1)} AS fault FROM tx WHERE channel = 'ecommerce')
+  GROUP BY 1, 2
+),
+order_lines AS (
+  SELECT ingest_order, reason, CASE
+      WHEN reason = 'missing order_id' AND l_orderkey % 131 <> 0 THEN ''
+      ELSE '{{' || CASE WHEN reason = 'missing order_id' THEN '' ELSE id_part END || middle
+        || CASE WHEN reason = 'missing items' THEN '' ELSE '"items":[' || items || '],' END
+        || tail END AS document
+  FROM documents
+)"""
+
+
+FIRST_LOAD_END, SECOND_LOAD_START, RESENT_START = "1998-02-15", "1998-02-10", "1998-02-01"
+LOADS = f"""
+sent AS (
+  SELECT transaction_id, upc_or_name AS product_identifier, r.store_id,
+         r.price_charged_cents AS cents, resent, sale_date
+  FROM raw_pos r JOIN tx t USING (transaction_id)
+),
+loads AS (
+  SELECT *, 1 AS run, cents AS charged FROM sent
+  WHERE resent = 0 AND sale_date <= DATE '{FIRST_LOAD_END}'
+  UNION ALL
+  SELECT *, 2, cents + 1 FROM sent
+  WHERE sale_date >= CASE WHEN resent = 1 THEN DATE '{RESENT_START}'
+                          ELSE DATE '{SECOND_LOAD_START}' END
+),
+merged AS (
+  SELECT transaction_id, product_identifier, store_id, any_value(sale_date) AS sale_date,
+         CAST(arg_min(charged, run) AS INTEGER) AS sale_price_cents,
+         count(*) AS copies, min(run) AS first_run, max(run) AS last_run
+  FROM loads GROUP BY 1, 2, 3
+)"""
+
+
 def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
 
@@ -346,6 +481,20 @@ SELECT transaction_id, store_id, timestamp_raw, upc_or_name,
     sql["orders_json_parsed"] = _raw(f"SELECT {ORDER_COLUMNS}, product_identifier AS sku, "
                                      "quantity AS qty, sale_price_cents AS unit_price_cents "
                                      "FROM feed WHERE channel = 'ecommerce'")
+    sql["pos_csv_rejects"] = with_views(
+        "SELECT ingest_order, reason, line FROM pos_lines WHERE reason IS NOT NULL",
+        RAW_POS, POS_REJECTS)
+    sql["order_json_rejects"] = with_views("""
+SELECT ingest_order, reason,
+       CAST(len(document) - CASE WHEN reason = 'malformed' THEN 10 ELSE 0 END AS BIGINT)
+         AS line_length
+FROM order_lines WHERE reason IS NOT NULL""", ORDER_REJECTS)
+    sql["feed_balance"] = with_views("""
+SELECT 'pos' AS feed, coalesce(reason, 'parsed') AS outcome, count(*) AS lines
+FROM pos_lines GROUP BY ALL
+UNION ALL
+SELECT 'orders', coalesce(reason, 'parsed'), count(*) FROM order_lines GROUP BY ALL""",
+        RAW_POS, POS_REJECTS, ORDER_REJECTS)
     sql["staged_orders"] = _raw(f"""
 SELECT {ORDER_COLUMNS}, count(*) AS items, CAST(sum(quantity) AS BIGINT) AS units
 FROM feed WHERE channel = 'ecommerce' GROUP BY ALL""")
@@ -368,10 +517,49 @@ SELECT store_id, channel, count(*) AS lines FROM tx GROUP BY 1, 2""")
 SELECT DISTINCT upc_or_name AS identifier, product_id, 'skeleton' AS method, CAST(1 AS DOUBLE) AS score
 FROM raw_pos WHERE NOT regexp_full_match(upc_or_name, '[0-9]+')""", RAW_POS)
     sql["fuzzy_matches"] = with_views(
-        "SELECT * FROM matched", RAW_POS, _brute_force_matches(MISTYPED))
+        "SELECT * FROM matched", MISTYPED,
+        _brute_force_matches("SELECT DISTINCT identifier FROM mistyped"))
+    sql["resolver_cascade"] = with_views("""
+SELECT r.identifier, coalesce(alias_id, name_id, skeleton_id, m.product_id, 'UNKNOWN') AS product_id,
+       CASE WHEN alias_id IS NOT NULL THEN 'alias' WHEN name_id IS NOT NULL THEN 'exact_name'
+            WHEN skeleton_id IS NOT NULL THEN 'skeleton'
+            WHEN m.product_id IS NOT NULL THEN 'fuzzy' END AS method,
+       CASE WHEN coalesce(alias_id, name_id, skeleton_id) IS NOT NULL THEN 1::DOUBLE
+            ELSE m.score END AS score
+FROM ruled r LEFT JOIN matched m USING (identifier)""", MISTYPED, REGISTER_STRINGS,
+        _brute_force_matches("""SELECT identifier FROM ruled
+          WHERE coalesce(alias_id, name_id, skeleton_id) IS NULL
+            AND NOT regexp_full_match(identifier, '[0-9]+')"""))
     sql["enriched"] = with_views(CLEAN)
     sql["clean_transactions"] = with_views(CLEAN)
     sql["run_summary"] = SUMMARY
+    sql["faulty_run_summary"] = with_views("""
+SELECT metric, CAST(value AS BIGINT) AS value FROM (UNPIVOT (
+  SELECT (SELECT count(*) FROM raw_pos) AS raw_pos_rows,
+    count(DISTINCT l_orderkey) FILTER (channel = 'ecommerce') AS raw_orders,
+    count(*) FILTER (channel = 'ecommerce' AND has_items) AS exploded_lines,
+    (SELECT count(*) FROM raw_pos WHERE resent = 1) AS duplicates_removed,
+    count(*) FILTER (has_items) AS lines_after_dedup,
+    count(*) FILTER (channel = 'ecommerce' AND has_items AND store_id = 'FC-EAST')
+      AS routed_to_fulfillment,
+    count(DISTINCT CASE WHEN unlisted THEN '???' WHEN named THEN product_id END)
+      AS unmatched_identifiers,
+    count(DISTINCT CASE WHEN named AND NOT unlisted THEN product_id END) AS resolutions_made,
+    count(*) FILTER (unlisted) AS unknown_rows_dropped,
+    count(*) FILTER (bad_time AND NOT unlisted) AS bad_time_rows_dropped,
+    count(*) FILTER (has_items AND NOT unlisted AND NOT bad_time) AS final_rows
+  FROM (SELECT *, channel = 'pos' AND l_orderkey % 107 = 0 AS unlisted,
+               channel = 'pos' AND l_orderkey % 113 = 0 AS bad_time,
+               channel = 'pos' AND (l_orderkey + rn) % 33 = 0 AS named,
+               channel = 'pos' OR l_orderkey % 109 <> 0 AS has_items FROM tx))
+  ON COLUMNS(*) INTO NAME metric VALUE value)""", RAW_POS)
+    sql["merged_load"] = with_views("""
+SELECT transaction_id, product_identifier, store_id, sale_price_cents, copies, first_run
+FROM merged""", RAW_POS, LOADS)
+    sql["load_months"] = with_views("""
+SELECT strftime(date_trunc('month', sale_date), '%Y-%m-%d') AS sale_month, count(*) AS lines,
+       count(*) FILTER (first_run = 2) AS lines_added, bool_or(last_run = 2) AS written
+FROM merged GROUP BY 1""", RAW_POS, LOADS)
 
     sql["null_violations"] = with_views(
         f"SELECT transaction_id, 'store_id' AS column_name FROM tx WHERE {FAULT['null']}")
@@ -413,4 +601,11 @@ SELECT 'lines_out', count(*), count(*), 0 FROM tx""")
 SELECT unnest(['category', 'region', 'channel', 'week']) AS check_name,
        left_value, left_value AS right_value, CAST(0 AS DOUBLE) AS difference
 FROM (SELECT CAST(sum(rev) AS DOUBLE) / 100 AS left_value FROM w)""")
+    sql["rollup_reconciliation_of_loss"] = _window(f"""
+SELECT check_name, CAST(whole - lost AS DOUBLE) / 100 AS left_value,
+       CAST(whole AS DOUBLE) / 100 AS right_value, CAST(-lost AS DOUBLE) / 100 AS difference
+FROM (SELECT check_name, sum(rev) AS whole,
+             coalesce(sum(rev) FILTER (check_name = 'region' AND {FAULT['null']}), 0) AS lost
+      FROM w, (SELECT unnest(['category', 'region', 'channel', 'week']) AS check_name)
+      GROUP BY 1)""")
     return sql

@@ -1,22 +1,26 @@
 """Counting which items are bought together: the N most frequent pairs, exactly.
 
-Ordinary orders are gathered one array each and their pairs are counted inside
-each task before they are shuffled.
-
-A large order is never gathered. Its items are cut into blocks, and each pair of
-blocks is a group of its own. And since a pair is in a large order at most once,
-H large orders add at most H to its count: a pair that the ordinary orders leave
-more than H below the N-th best cannot get into the result, so only items of the
-pairs above that line are looked for in large orders.
+Before the pairs are made, it is found out how often the N-th best one occurs at
+least. Any N pairs whose counts are known give such a bound; the pairs of the
+most frequent items are counted for it. Items on fewer lines than that cannot be
+in the result and go.
+
+A pair in that many orders is also in an order that is not among the largest: the
+largest orders make no pairs, but are looked up for the pairs that the others
+made. Orders of every size take this one way. The items of an order are cut into
+blocks and each pair of blocks is a group of its own, so no task ever holds a
+huge order; most orders are a single block.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Lines that make an order a large one, and the items per block of its items.
-LARGE_ORDER = 512
+# The most frequent items, whose pairs are counted for the bound.
+FREQUENT_ITEMS = 128
+# The most orders that make no pairs, and the items per block of an order.
+LARGEST_ORDERS = 32
 BLOCK_ITEMS = 256
 
 
@@ -36,28 +40,30 @@ def _counted(pairs: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("orders"), F.min("order").alias("first_order"))
 
 
-def _pairs_by_block(basket: DataFrame, block_items: int) -> DataFrame:
-    """(order, a, b) of distinct (order, item). Every item goes to each pair of
-    blocks that includes its own; no group is much larger than two blocks."""
-    sizes = (
-        basket.groupBy("order").agg(F.count(F.lit(1)).alias("items"))
-        .select("order", F.ceil(F.col("items") / block_items).cast("int").alias("blocks"))
-    )
-    placed = basket.join(sizes, "order").select(
-        "order", "item", "blocks",
-        F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int").alias("block"))
+def _pairs_by_block(entries: DataFrame, block_items: int, largest: int) -> DataFrame:
+    """(order, a, b), each once, of the items of the orders, of which the longest
+    has `largest` lines. Every item goes to each pair of blocks that includes its
+    own; no group is much larger than two blocks."""
+    placed = entries.withColumn("blocks", F.lit(1))
+    if largest > block_items:
+        sizes = entries.groupBy("order").agg(F.count(F.lit(1)).alias("lines"))
+        several = sizes.where(F.col("lines") > block_items).select(
+            "order", F.ceil(F.col("lines") / block_items).cast("int").alias("several"))
+        placed = entries.join(several, "order", "left").select(
+            "order", "item", F.coalesce("several", F.lit(1)).alias("blocks"))
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int"))
     cells = placed.select(
         "order", "item", "block",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
     ).select(
         "order", "item", "block",
         F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    # Spread by cell: left as they are, all cells of an order would be grouped
-    # where the order was joined.
-    members = (
-        cells.repartition("order", "low", "high").groupBy("order", "low", "high")
-        .agg(F.sort_array(F.collect_list(F.struct("item", "block"))).alias("members"))
-    )
+    if largest > block_items:
+        # Spread by cell: left as they are, all cells of an order would be grouped
+        # where the order was joined.
+        cells = cells.repartition("order", "low", "high")
+    members = cells.groupBy("order", "low", "high").agg(
+        F.sort_array(F.collect_set(F.struct("item", "block"))).alias("members"))
     # Two items of one block meet in several cells; only (block, block) counts.
     across = F.col("left.block") != F.col("right.block")
     return (
@@ -67,48 +73,62 @@ def _pairs_by_block(basket: DataFrame, block_items: int) -> DataFrame:
     )
 
 
+def _known_best(entries: DataFrame, support: DataFrame, n: int, frequent: int) -> list:
+    """The n best of the pairs of the most frequent items, best first, with their
+    exact counts."""
+    pool = support.orderBy(F.desc("lines"), "item").limit(frequent).select("item")
+    members = entries.join(pool, "item", "left_semi").groupBy("order").agg(
+        F.sort_array(F.collect_set("item")).alias("members"))
+    known = _counted(_pairs_of(members, "order").select(
+        "order", F.col("left").alias("a"), F.col("right").alias("b")))
+    return known.orderBy(F.desc("orders"), "first_order", "a", "b").limit(n).collect()
+
+
 def top_pairs(lines: DataFrame, order: str, item: str, n: int,
-              large_order: int = LARGE_ORDER, block_items: int = BLOCK_ITEMS) -> DataFrame:
+              frequent: int = FREQUENT_ITEMS, largest: int = LARGEST_ORDERS,
+              block_items: int = BLOCK_ITEMS) -> DataFrame:
     """(a, b, orders, first_order): the n pairs of items found together in most
     orders. Equal counts rank by the lowest order that has the pair, then by
-    the items."""
+    the items.
+
+    The bound (n rows) and the largest orders are found by two jobs when this is
+    called; the rest is one lazy plan.
+    """
     entries = lines.select(F.col(order).alias("order"), F.col(item).alias("item")) \
         .where(F.col("order").isNotNull() & F.col("item").isNotNull())
-    sizes = entries.groupBy("order").agg(F.count(F.lit(1)).alias("lines"))
-    # Most orders of a shop are a single line and end here.
-    ordinary = sizes.where(F.col("lines").between(2, large_order)).select("order")
-    large = sizes.where(F.col("lines") > large_order).select("order")
-    small_counts = _counted(
-        _pairs_of(
-            entries.join(ordinary, "order", "left_semi")
-            .groupBy("order").agg(F.sort_array(F.collect_set("item")).alias("members")),
-            "order")
-        .select("order", F.col("left").alias("a"), F.col("right").alias("b")))
-    # Never null: naming the column here keeps it in all three uses below, which
-    # then share one aggregation.
-    small_counts = small_counts.where(F.col("first_order").isNotNull())
-
-    # What a pair needs from ordinary orders to have a chance: the n-th best
-    # count there, less one for each large order. Fewer than n pairs say nothing.
-    best = small_counts.select("orders").orderBy(F.desc("orders")).limit(n).agg(
-        F.when(F.count(F.lit(1)) == n, F.min("orders")).otherwise(F.lit(1))).scalar()
-    needed = best - large.agg(F.count(F.lit(1))).scalar()
-
-    strong = small_counts.where(F.col("orders") >= needed)
-    wanted = (
-        strong.select(F.explode(F.array("a", "b")).alias("item")).distinct()
-        .withColumn("is_wanted", F.lit(True))
-    )
-    in_large = entries.join(large, "order", "left_semi").distinct()
-    looked_for = (
-        in_large.join(wanted, "item", "left")
-        .where(F.col("is_wanted") | (needed <= 0)).select("order", "item")
-    )
-    large_counts = _counted(_pairs_by_block(looked_for, block_items))
+    # Lines of an item are at least as many as its orders.
+    support = entries.groupBy("item").agg(F.count(F.lit(1)).alias("lines"))
+    known = _known_best(entries, support, n, frequent)
+    bound = known[-1].orders if len(known) == n else 0
+
+    # Of the orders of several blocks, the largest are set aside, half as many as the
+    # bound. If one order is enough for a pair, ties are won by the first orders,
+    # which then stay. Without a bound all stay.
+    by_size = entries.groupBy("order").agg(F.count(F.lit(1)).alias("lines")) \
+        .orderBy(F.desc("lines"), "order").limit(largest + 1).collect()
+    large = [r for r in by_size[:largest] if r.lines > block_items]
+    if bound == 1:
+        large = [r for r in large if r.order > known[-1].first_order]
+    huge = [r.order for r in large[:-(-bound // 2)]]
+    longest = max((r.lines for r in by_size if r.order not in huge), default=0)
+
+    if bound > 1:
+        entries = entries.join(support.where(F.col("lines") >= bound), "item", "left_semi")
+    made = _counted(_pairs_by_block(
+        entries.where(~F.col("order").isin(huge)) if huge else entries, block_items, longest))
+    best_first = [F.desc("orders"), "first_order", "a", "b"]
+    if not huge:
+        return made.orderBy(*best_first).limit(n)
+    # A pair in `bound` orders is in all but those set aside here.
+    strong = made.where(F.col("orders") >= bound - len(huge))
+    in_huge = entries.where(F.col("order").isin(huge)).distinct()
+    looked_up = _counted(
+        strong.select("a", "b")
+        .join(in_huge.select("order", F.col("item").alias("a")), "a")
+        .join(in_huge.select("order", F.col("item").alias("b")), ["order", "b"]))
     return (
-        strong.unionByName(large_counts)
+        strong.unionByName(looked_up)
         .groupBy("a", "b")
         .agg(F.sum("orders").alias("orders"), F.min("first_order").alias("first_order"))
-        .orderBy(F.desc("orders"), "first_order", "a", "b")
-        .limit(n)
+        .orderBy(*best_first).limit(n)
     )

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline import schemas
 
-# A clock time with its offset: "2026-03-15T14:22:10Z", "...+05:30".
-_ISO_WITH_OFFSET = r"T.*(Z|[+-]\d{2}(:?\d{2})?)$"
+# A clock time with its offset, as nearly all come: "2026-03-15T14:22:10Z", "...+05:30".
+_ISO_PLAIN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
+# Any time with an offset.
+_ISO_WITH_OFFSET = r"T.*([Zz]|[+-]\d{2}(:?\d{2})?)$"
 # Other shapes of ISO 8601 times, each with the extended form it is brought to:
 # small z, basic date, basic time, no seconds.
 _ISO_SHAPES = [
@@ -23,6 +26,18 @@ _ISO_SHAPES = [
 COPY_KEY = ["transaction_id", "product_identifier", "store_id"]
 
 
+# Places in a feed stay below this, so the second feed's come after all of the first's.
+_FEED = 1 << 62
+
+
+def _feed_order(feed: DataFrame, number: int) -> Column:
+    """Where a row stands in both feeds: one number if its place in its own is one."""
+    place = F.col("ingest_order")
+    if isinstance(feed.schema["ingest_order"].dataType, T.IntegralType):
+        return place.cast("bigint") + F.lit(number * _FEED).cast("bigint")
+    return F.struct(F.lit(number).alias("feed"), place.alias("position"))
+
+
 def explode_orders(orders: DataFrame) -> DataFrame:
     """One row per order item; an order without items yields none. A long order
     may come in several documents, each with the index of its `first_item`."""
@@ -40,8 +55,7 @@ def explode_orders(orders: DataFrame) -> DataFrame:
         "store_id",
         "customer_id",
         F.lit("ecommerce").alias("channel"),
-        F.struct(F.lit(1).alias("feed"), F.col("ingest_order").alias("position"))
-        .alias("ingest_order"),
+        _feed_order(orders, 1).alias("ingest_order"),
     )
 
 
@@ -58,8 +72,7 @@ def normalize_pos(raw_pos: DataFrame) -> DataFrame:
         "store_id",
         F.lit(None).cast("string").alias("customer_id"),
         F.lit("pos").alias("channel"),
-        F.struct(F.lit(0).alias("feed"), F.col("ingest_order").alias("position"))
-        .alias("ingest_order"),
+        _feed_order(raw_pos, 0).alias("ingest_order"),
     )
 
 
@@ -73,13 +86,15 @@ def parse_time(raw: Column) -> Column:
 
     Each value is tried against the one format its shape allows: ISO 8601 with
     an offset if it has a "T", month/day/year if it has a slash, else
-    year-month-day. Padded and unpadded numbers are both accepted.
+    year-month-day. Padded and unpadded numbers are both accepted. Only ISO times
+    of another shape than the usual one are rewritten before they are read.
     """
     iso = raw
     for shape, extended in _ISO_SHAPES:
         iso = F.regexp_replace(iso, shape, extended)
     return (
-        F.when(raw.contains("T"), F.when(iso.rlike(_ISO_WITH_OFFSET), F.try_to_timestamp(iso)))
+        F.when(raw.rlike(_ISO_PLAIN), F.try_to_timestamp(raw))
+        .when(raw.contains("T"), F.when(raw.rlike(_ISO_WITH_OFFSET), F.try_to_timestamp(iso)))
         .when(raw.contains("/"), F.try_to_timestamp(raw, F.lit("M/d/yyyy H:m")))
         .otherwise(F.try_to_timestamp(raw, F.lit("yyyy-M-d H:m:s")))
     )
@@ -105,19 +120,31 @@ def parse_timestamps(lines: DataFrame, on_error: str = "quarantine") -> DataFram
     )
 
 
+def key_hashes(key: list[str]) -> dict[str, Column]:
+    """128 bits that stand for a key; a null differs from every value."""
+    parts = [part for c in key for part in (F.col(c).isNull(), F.col(c))]
+    return {"key_high": F.xxhash64(*parts), "key_low": F.xxhash64(F.lit("low"), *parts)}
+
+
 def keep_first_copy(lines: DataFrame, key: list[str] = COPY_KEY) -> DataFrame:
     """One row per key, the earliest in feed order, with the number of `copies`.
 
-    Null keys compare equal. As an aggregate this shrinks every group of copies
-    inside each task before the shuffle, however large the group is.
+    Null keys compare equal; `ingest_order` may not repeat within a key. The
+    first copies are looked for with hashes of the key and the place alone, as
+    an aggregate that shrinks a group of copies inside each task. Only keys that
+    do repeat are joined back to the rows, by a hash table of those keys, so no
+    row is sorted and a hot key can be split.
     """
-    rest = [c for c in lines.columns if c not in key]
-    first = F.min_by(F.struct(*rest), F.col("ingest_order"))
+    hashed = lines.withColumns(key_hashes(key))
+    repeated = (
+        hashed.groupBy("key_high", "key_low")
+        .agg(F.min("ingest_order").alias("first"), F.count(F.lit(1)).alias("copies"))
+        .where("copies > 1")
+    )
     return (
-        lines.groupBy(*key)
-        .agg(first.alias("first"), F.count(F.lit(1)).alias("copies"))
-        .select(*key, "first.*", "copies")
-        .select(*lines.columns, "copies")
+        hashed.join(repeated.hint("shuffle_hash"), ["key_high", "key_low"], "left")
+        .where(F.col("first").isNull() | (F.col("first") == F.col("ingest_order")))
+        .select(*lines.columns, F.coalesce("copies", F.lit(1)).alias("copies"))
     )
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline import schemas
+from shelfline.functions.money import dollars, line_revenue
 
 
 def null_violations(df: DataFrame, required: list[str] | None = None,
@@ -95,18 +96,27 @@ def reconcile(metrics: DataFrame) -> DataFrame:
     return sides.select(F.inline(F.array(*checks)))
 
 
-def reconcile_rollups(rollups: dict[str, DataFrame], total: DataFrame,
-                      measure: str = "revenue") -> DataFrame:
-    """Compare the sum of each report with the one-row total of the same
-    measure: a rollup that lost rows does not add up."""
-    parts = [
-        frame.agg(F.lit(name).alias("check_name"),
-                  F.coalesce(F.sum(F.col(measure).cast("decimal(38,2)")), F.lit(0))
-                  .cast("double").alias("left_value"))
-        for name, frame in rollups.items()
-    ]
-    whole = total.select(F.col(measure).cast("double")).scalar()
-    return (
-        _stacked(parts).withColumn("right_value", whole)
-        .withColumn("difference", F.round(F.col("left_value") - F.col("right_value"), 2))
-    )
+def reconcile_rollups(lines: DataFrame, dimensions: list[str]) -> DataFrame:
+    """(check_name, left_value, right_value, difference): the revenue that the
+    report of each dimension shows against that of all lines. A report leaves out
+    lines without the dimension, and then does not add up.
+
+    All reports and the total come from one pass over the lines.
+    """
+    parts = lines.groupingSets([[d] for d in dimensions] + [[]], *dimensions).agg(
+        F.sum(line_revenue()).alias("cents"), F.grouping_id().alias("id"))
+    # The last dimension has the lowest bit of the id, set where it is not grouped by.
+    all_bits = (1 << len(dimensions)) - 1
+    ids = {d: all_bits ^ (1 << i) for i, d in enumerate(reversed(dimensions))}
+
+    def revenue(rows) -> Column:
+        return F.coalesce(F.sum(F.when(rows, F.col("cents"))), F.lit(0))
+
+    whole = revenue(F.col("id") == all_bits)
+    sides = parts.agg(*[
+        F.struct(F.lit(d).alias("check_name"), dollars(shown).alias("left_value"),
+                 dollars(whole).alias("right_value"), dollars(shown - whole).alias("difference"))
+        .alias(f"check_{d}")
+        for d in dimensions
+        for shown in [revenue((F.col("id") == ids[d]) & F.col(d).isNotNull())]])
+    return sides.select(F.inline(F.array(*sides.columns)))

@@ -5,12 +5,15 @@ it: an alias table, the exact name, the same consonant skeleton, and last a
 scored match. What stays unresolved, or is too close to call, is UNKNOWN: a
 wrong product is worse than a dropped line.
 
-Score of a string against a product name: the share of the string's word
-trigrams (taken on the skeletons) that the name also has.
+Score of a string against a product name: the word trigrams they share (taken
+on the skeletons) over all of the string's and, at a fifth of the weight since
+registers shorten names, those that only the name has. So what the string does
+not account for counts against the name. A string that starts with a later word
+of a name is taken for another product, as "Coke" is not "Diet Coke".
 
 The scored match is exact without comparing all pairs. Trigrams are put in one
-order, rarest in the catalog first. To share `need` of its n trigrams with a
-name, a string must share at least one of its first n - need + 1, and the first
+order, rarest in the catalog first. A score is never above the share of the
+string's trigrams that the name has, and to share `need` of its n with a name, a string must share at least one of its first n - need + 1, and the first
 one they share can have at most need - 1 shared ones behind it on either side.
 So only rare trigrams are looked up, and common ones near the end of a name's
 list never make a pair.
@@ -31,6 +34,8 @@ from shelfline.functions.text import is_product_code, plain_name, skeleton, word
 UNKNOWN = "UNKNOWN"
 THRESHOLD = 0.5
 GAP = 0.1
+# Weight of a trigram that only the name has.
+CHARGE = 0.2
 # Start of the search: most strings have a good match, and knowing its score
 # lets the full search skip everything that is clearly worse.
 SEED_SCORE = 0.7
@@ -119,7 +124,7 @@ def _search_tasks(spark: SparkSession) -> int:
 
 
 def _candidates(strings: DataFrame, postings: DataFrame) -> DataFrame:
-    """(identifier, n, name_key, shared) for all names that share at least
+    """(identifier, n, name_key, score) for all names that share at least
     `need` of the string's trigrams.
 
     A pair is emitted only at the first trigram it shares, so no pair is emitted
@@ -134,19 +139,39 @@ def _candidates(strings: DataFrame, postings: DataFrame) -> DataFrame:
     return (
         probes.join(postings, (probes.gram == postings.name_gram)
                     & (postings.name_left >= probes.need))
-        .select("identifier", "n", "gram", "need", "name_key", common.alias("common"))
+        .select("identifier", "n", "gram", "need", "name_key",
+                F.size("name_grams").alias("name_n"), common.alias("common"))
         .where((F.size("common") >= F.col("need"))
                & (F.get("common", F.lit(0)) == F.col("gram")))
-        .select("identifier", "n", "name_key", F.size("common").alias("shared"))
+        .select("identifier", "n", "name_key", _score(
+            F.size("common"), F.col("n"), F.col("name_n")).alias("score"))
     )
 
 
+def _score(shared: Column, n: Column, name_n: Column) -> Column:
+    return shared / (n + F.lit(CHARGE) * (name_n - shared))
+
+
+def _begins_alike(bare: Column, name: Column) -> Column:
+    """Whether the first word of a name has a counterpart in a string: some word
+    like it, or a first word that is like none of the name's, and so its form."""
+    def alike(word: Column, text: Column) -> Column:
+        # In an array, so that both are made once and not for every trigram.
+        both = F.array(F.struct(
+            F.concat(F.lit("^"), word, F.lit("$")).alias("word"),
+            F.concat(F.lit("^"), F.replace(text, F.lit(" "), F.lit("$^")), F.lit("$"))
+            .alias("words")))
+        return F.exists(both, lambda x: F.exists(
+            F.sequence(F.lit(1), F.length(x["word"]) - 2),
+            lambda i: F.contains(x["words"], F.substring(x["word"], i, F.lit(3)))))
+    first = [F.substring_index(text, " ", 1) for text in (bare, name)]
+    return alike(first[1], bare) | ~alike(first[0], name)
+
+
 def fuzzy_matches(identifiers: DataFrame, products: DataFrame,
                   threshold: float = THRESHOLD, gap: float = GAP) -> DataFrame:
     """(identifier, product_id, score) for the strings whose best product scores
-    at least `threshold` and leads every other product by at least `gap`. A
-    name that begins with another letter is not matched: registers shorten
-    names from behind, and "Diet" before a name is another product."""
+    at least `threshold` and leads every other product by at least `gap`."""
     names = (
         products.select(skeleton(F.col("product_name")).alias("name_key"), "product_id")
         .where(F.length("name_key") > 0)
@@ -167,15 +192,14 @@ def fuzzy_matches(identifiers: DataFrame, products: DataFrame,
     strings = _ranked_grams(identifiers, "identifier", words, rarity)
 
     seeds = _candidates(strings.withColumn("need", _need(F.lit(SEED_SCORE))), postings)
-    best_seed = seeds.groupBy("identifier").agg(F.max("shared").alias("seed_shared"))
+    best_seed = seeds.groupBy("identifier").agg(F.max("score").alias("seed_score"))
     # Everything within `gap` of the best, or of the threshold, must be seen.
-    floor = F.greatest(
-        F.coalesce(F.col("seed_shared") / F.col("n"), F.lit(threshold)), F.lit(threshold))
+    floor = F.greatest(F.coalesce("seed_score", F.lit(threshold)), F.lit(threshold))
     searched = (
         strings.join(best_seed, "identifier", "left")
         .withColumn("need", _need(floor - gap))
     )
-    scored = _candidates(searched, postings).withColumn("score", F.col("shared") / F.col("n"))
+    scored = _candidates(searched, postings)
     order = Window.partitionBy("identifier").orderBy(F.desc("score"), F.asc("name_key"))
     top_two = (
         scored.withColumn("place", F.row_number().over(order)).where(F.col("place") <= 2)
@@ -190,8 +214,7 @@ def fuzzy_matches(identifiers: DataFrame, products: DataFrame,
     return (
         best.where(clear)
         .join(names.where(F.col("products") == 1), "name_key")
-        .where(F.substring("name_key", 1, 1)
-               == F.substring(skeleton(F.col("identifier")), 1, 1))
+        .where(_begins_alike(skeleton(F.col("identifier")), F.col("name_key")))
         .select("identifier", "product_id", "score")
     )
 

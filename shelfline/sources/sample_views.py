@@ -214,10 +214,16 @@ def raw_pos(spark: SparkSession, root: str) -> DataFrame:
         # One in twenty orders was sent twice, the second time after all others.
         F.explode(F.when(F.col("o_orderkey") % 20 == 7, F.array(F.lit(0), F.lit(1)))
                   .otherwise(F.array(F.lit(0)))).alias("resent"),
-        F.struct("l_orderkey", "rn").alias("place"),
+        "l_orderkey", "rn",
     )
-    return feed.withColumn(
-        "ingest_order", F.struct("resent", "place.*")).drop("resent", "place")
+    return feed.withColumn("ingest_order", _place(F.col("resent"), F.col("rn"))) \
+        .drop("resent", "l_orderkey", "rn")
+
+
+def _place(resent: Column, line: Column) -> Column:
+    """Place in a feed: what was sent again comes after all else, orders go by
+    number. Only lines of orders beyond 4 million lines can come out of turn."""
+    return resent.cast("bigint") * (1 << 60) + F.col("l_orderkey") * (1 << 22) + line
 
 
 def raw_orders(spark: SparkSession, root: str) -> DataFrame:
@@ -245,9 +251,7 @@ def raw_orders(spark: SparkSession, root: str) -> DataFrame:
         F.when(pickup, F.lit("pickup")).otherwise(F.lit("delivery")).alias("fulfillment"),
         F.when(pickup, F.col("store")).alias("store_id"),
         (F.col("document") * ITEMS_PER_DOCUMENT).cast("int").alias("first_item"),
-        F.struct(F.lit(0).alias("resent"), "l_orderkey",
-                 (F.col("document") * ITEMS_PER_DOCUMENT).cast("int").alias("rn"))
-        .alias("ingest_order"),
+        _place(F.lit(0), F.col("document") * ITEMS_PER_DOCUMENT).alias("ingest_order"),
     )
 
 
@@ -309,3 +313,108 @@ def with_unreadable_times(pos: DataFrame) -> DataFrame:
     hit = _order_number() % 113 == 0
     return pos.withColumn(
         "timestamp_raw", F.when(hit, F.lit("not a time")).otherwise(F.col("timestamp_raw")))
+
+
+# Feeds as text, with planted lines that cannot be used.
+
+def _first_fault(*divisors: int) -> Column:
+    """The first of the numbers that divides the order number, else null."""
+    return F.coalesce(*[F.when(_order_number() % d == 0, F.lit(d)) for d in divisors])
+
+
+def pos_lines(spark: SparkSession, root: str) -> DataFrame:
+    """(line, ingest_order): register rows as CSV lines. By fault: a field is
+    lost, a quantity is a word, a price is missing, a field is too much, a
+    quantity is too large, the id is missing, the line is empty."""
+    fault = F.col("fault")
+    rows = raw_pos(spark, root).withColumn("fault", _first_fault(113, 127, 131, 137, 139, 149, 151))
+    changed = {
+        "transaction_id": F.when(fault == 149, F.lit("")),
+        "quantity": F.when(fault == 127, F.lit("two")).when(fault == 139, F.lit("99999999999")),
+        "price_charged_cents": F.when(fault == 131, F.lit("")),
+    }
+    fields = [F.coalesce(changed.get(c, F.lit(None)), F.col(c).cast("string"), F.lit(""))
+              for c in schemas.RAW_POS.names]
+    line = F.concat(
+        F.concat_ws(",", *fields[:-1]),
+        F.when(F.coalesce(fault, F.lit(0)) != 113, F.concat(F.lit(","), fields[-1]))
+        .otherwise(F.lit("")),
+        F.when(fault == 137, F.lit(",again")).otherwise(F.lit("")))
+    return rows.select(F.when(fault == 151, F.lit("")).otherwise(line).alias("line"),
+                       "ingest_order")
+
+
+def order_documents(spark: SparkSession, root: str) -> DataFrame:
+    """(document, ingest_order): online orders as JSON documents. By fault: the
+    end is lost, quantities are words, the order's id, the items or the items'
+    codes are missing, the document is empty."""
+    customer = F.struct(F.col("customer_id").alias("id"), "loyalty_tier").alias("customer")
+    document = F.to_json(F.struct(
+        "order_id", "placed_at", customer, "items", "fulfillment", "store_id"))
+    orders = raw_orders(spark, root).withColumns({
+        "document": document,
+        "transaction_id": F.concat("order_id", F.lit("-0"))})
+    fault = F.col("fault")
+    faulty = (
+        F.when(fault == 113, F.expr("substr(document, 1, length(document) - 10)"))
+        .when(fault == 127, F.regexp_replace("document", '"qty":[0-9]+', '"qty":"two"'))
+        .when(fault == 131, F.regexp_replace("document", '"order_id":"[^"]*",', ""))
+        .when(fault == 137, F.regexp_replace("document", r'"items":\[.*\],', ""))
+        .when(fault == 139, F.regexp_replace("document", '"sku":"[^"]*",', ""))
+        .when(fault == 149, F.lit("")).otherwise(F.col("document")))
+    orders = orders.withColumn("fault", _first_fault(113, 127, 131, 137, 139, 149))
+    return orders.select(faulty.alias("document"), "ingest_order")
+
+
+def faulty_pos(spark: SparkSession, root: str) -> DataFrame:
+    """Register rows some of which have an unreadable time, no store, or a name
+    that is in no catalog."""
+    number = _order_number()
+    return with_unreadable_times(raw_pos(spark, root)).withColumns({
+        "store_id": F.when(number % 101 != 0, F.col("store_id")),
+        "upc_or_name": F.when(number % 107 == 0, F.lit("???"))
+        .otherwise(F.col("upc_or_name"))})
+
+
+def orders_with_empty_ones(spark: SparkSession, root: str) -> DataFrame:
+    """Online orders, some without items."""
+    number = F.regexp_extract("order_id", r"-(\d+)$", 1).cast("bigint")
+    return raw_orders(spark, root).withColumn(
+        "items", F.when(number % 109 == 0, F.slice("items", 1, 0)).otherwise(F.col("items")))
+
+
+def mistyped_names(spark: SparkSession, root: str) -> DataFrame:
+    """(p_partkey, identifier): every product name with one of five mistakes: a
+    wrong first letter, a lost word, two letters in the wrong order, words cut
+    to three letters, a letter typed twice."""
+    name = F.col("product_name")
+    kind = F.col("p_partkey") % 5
+    part = lambda start, length=99: F.substring(name, start, length)
+    mistyped = (
+        F.when(kind == 0, F.concat(F.lit("z"), part(2)))
+        .when(kind == 1, F.regexp_replace(name, " [a-z]+ ", " "))
+        .when(kind == 2, F.concat(part(1, 2), part(4, 1), part(3, 1), part(5)))
+        .when(kind == 3, F.regexp_replace(name, "([a-z]{3})[a-z]*", "$1"))
+        .otherwise(F.concat(part(1, 3), part(3))))
+    return _catalog(spark, root).select("p_partkey", F.upper(mistyped).alias("identifier"))
+
+
+def register_strings(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """(identifier), strings for every rule of the resolver by product number, and
+    the alias table that knows some of them."""
+    names = _catalog(spark, root)
+    kind, number = F.col("p_partkey") % 7, F.col("p_partkey").cast("string")
+    nickname = F.concat(F.lit("Nr. "), number, F.lit(" of old"))
+    ruled = names.select(F.when(kind == 0, F.upper(F.translate("product_name", " ", "-")))
+                         .when(kind == 1, dirty_name(F.col("product_name")))
+                         .when(kind == 5, nickname)
+                         .when(kind == 6, F.lpad(number, 13, "9")).alias("identifier"))
+    mistyped = mistyped_names(spark, root).where(kind.isin(2, 3, 4)).select("identifier")
+    aliases = names.where(kind == 5).select(nickname.alias("identifier"), "product_id")
+    strings = ruled.where(F.col("identifier").isNotNull()).unionByName(mistyped).distinct()
+    return strings, aliases
+
+
+def with_null_regions(tx: DataFrame) -> DataFrame:
+    hit = _order_number() % 101 == 0
+    return tx.withColumn("region", F.when(~hit, F.col("region")))

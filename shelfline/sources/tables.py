@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline import schemas
+from shelfline.sources import staging
 
 
 @dataclass(frozen=True)
@@ -31,7 +32,11 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
 def read_transactions(spark: SparkSession, path: str) -> DataFrame:
     """The clean table under the declared types, with `sale_month` on top so
     that date windows can skip directories."""
-    stored = spark.read.parquet(path)
+    return typed_transactions(spark.read.parquet(path))
+
+
+def typed_transactions(stored: DataFrame) -> DataFrame:
+    """Stored lines under the declared types."""
     typed = [F.col(f.name).cast(f.dataType).alias(f.name)
              for f in schemas.TRANSACTIONS if f.name in stored.columns]
     if "sale_month" in stored.columns:
@@ -45,7 +50,7 @@ def read_tables(spark: SparkSession, root: str) -> Tables:
         products=read_table(spark, f"{root}/products", schemas.PRODUCTS),
         stores=read_table(spark, f"{root}/stores", schemas.STORES),
         forecasts=read_table(spark, f"{root}/forecasts"),
-        raw_pos=read_table(spark, f"{root}/raw_pos"),
+        raw_pos=staging.usable(read_table(spark, f"{root}/raw_pos")),
     )
 
 

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shelfline import schemas
 from shelfline.operators import cleaning, enrich, resolver
 from shelfline.plans import clean_run
+from shelfline.sources import raw
 from shelfline.sources.tables import read_table, typed_lines
 
 
@@ -28,20 +29,26 @@ def _arrival() -> Column:
 
 
 def pos_stream(spark: SparkSession, path: str) -> DataFrame:
-    """Register rows of the CSV files that turn up in a directory."""
-    raw = (
-        spark.readStream.schema(schemas.RAW_POS)
-        .option("header", True).csv(path)
-    )
-    return cleaning.normalize_pos(raw.select("*", _arrival().alias("ingest_order")))
+    """The usable register rows of the CSV files that turn up in a directory."""
+    return cleaning.normalize_pos(raw.accepted(raw.stream_pos_csv(spark, path, _arrival())))
 
 
 def order_stream(spark: SparkSession, path: str) -> DataFrame:
-    """Order items of the JSON Lines files that turn up in a directory."""
-    raw = spark.readStream.schema(schemas.RAW_ORDERS).json(path)
-    return cleaning.explode_orders(raw.select(
+    """Items of the usable orders in the JSON Lines files that turn up in a directory."""
+    orders = raw.accepted(raw.stream_orders_json(spark, path, _arrival()))
+    return cleaning.explode_orders(orders.select(
         "order_id", "placed_at", F.col("customer.id").alias("customer_id"),
-        "items", "store_id", _arrival().alias("ingest_order")))
+        "items", "store_id", "ingest_order"))
+
+
+def reject_stream(spark: SparkSession, pos_path: str, orders_path: str) -> DataFrame:
+    """The lines of both feeds that cannot be used: feed, file, reason, line."""
+    feeds = (("pos", raw.stream_pos_csv(spark, pos_path, _arrival())),
+             ("orders", raw.stream_orders_json(spark, orders_path, _arrival())))
+    pos, orders = (raw.rejected(checked).select(
+        F.lit(name).alias("feed"), F.col("ingest_order.at").alias("arrived"),
+        F.col("ingest_order.file").alias("file"), raw.REASON, raw.LINE) for name, checked in feeds)
+    return pos.unionByName(orders)
 
 
 def distinct_lines(lines: DataFrame, late_by: str = "1 day") -> DataFrame:
@@ -100,6 +107,16 @@ def start(spark: SparkSession, pos_path: str, orders_path: str, root: str,
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
+def start_rejects(spark: SparkSession, pos_path: str, orders_path: str, root: str,
+                  **trigger) -> StreamingQuery:
+    """Keep the lines that `start` leaves out, below `root`/stream_rejects. It
+    has its own progress, so either query can be stopped without the other."""
+    writer = reject_stream(spark, pos_path, orders_path).writeStream.format("parquet") \
+        .option("checkpointLocation", f"{root}/stream_rejects_progress") \
+        .option("path", f"{root}/stream_rejects")
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
 def read_stream_output(spark: SparkSession, root: str) -> DataFrame:
     """Everything the stream has loaded so far."""
     return spark.read.parquet(f"{root}/stream_transactions").where(

@@ -136,7 +136,7 @@ def test_one_line_sent_very_often_shrinks_before_the_shuffle(spark):
     hot = kept.where("transaction_id = 'HOT'").first()
     assert (hot.payload, hot.copies) == (0, 30_000)
     plan = kept._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min_by" in plan
+    assert "partial_min" in plan and "SortAggregate" not in plan and "ShuffledHashJoin" in plan
 
 
 def test_route_missing_stores(pos, orders):

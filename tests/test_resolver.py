@@ -49,12 +49,28 @@ def test_known_register_entries(spark, catalog):
     assert all(got[s].product_id == resolver.UNKNOWN for s in set(ENTRIES) - right)
     # Too close to call, so dropped.
     assert got["OREO CKE 14OZ"].product_id == resolver.UNKNOWN
-    # Every part of "COKE 12PK" is in "Diet Coke 12pk", which begins otherwise.
+    # Every part of "COKE 12PK" is in "Diet Coke 12pk", but it starts with the second word.
     assert got["COKE 12PK"].product_id == resolver.UNKNOWN
     assert got["SPRITE 2L"].method == "exact_name"
     assert got["LAYS CLSSC 8OZ"].method == "skeleton"
 
 
+def test_wrong_first_letters_and_lost_words(spark, catalog):
+    entries = {"ZHPS AHOY 13": "03", "XORITOS NCHO CHEESE": "07", "BUFFLES ORGNL 8OZ": "08",
+               "HORIZON MILK 64OZ": "18", "CHOBANI GREEK 5.3OZ": "20"}
+    got = _resolve(spark, [*entries, "VALUE WHL MLK 1GL", "ORGANIC MILK 64OZ"], catalog)
+    assert {s: got[s].product_id for s in entries} == entries
+    # These may well be other products.
+    assert got["VALUE WHL MLK 1GL"].product_id == resolver.UNKNOWN
+    assert got["ORGANIC MILK 64OZ"].product_id == resolver.UNKNOWN
+
+
+def test_words_only_the_name_has_count_against_it(spark):
+    names = _catalog(spark, [("1", "Red Lamp"), ("2", "Red Lamp Shade Holder Brass")])
+    got = _resolve(spark, ["RED LAMPS"], names)
+    assert got["RED LAMPS"].product_id == "1"
+
+
 def test_alias_corrects_a_mistake(spark, catalog):
     aliases = spark.createDataFrame(
         [("COKE 12PK", "11"), ("SPRITE 2L", "99")], schemas.ALIASES)
@@ -100,12 +116,15 @@ def _brute_force(spark, strings, catalog, threshold, gap):
         .withColumn("name_grams", word_trigrams(F.col("name"))).collect()
     out = {}
     for row in ids.collect():
+        grams = set(row.grams)
         scored = sorted(
-            ((len(set(row.grams) & set(n.name_grams)) / len(row.grams), n) for n in names),
-            key=lambda s: (-s[0], s[1].name))
+            ((len(grams & set(n.name_grams)) / (len(grams) + 0.2 * len(set(n.name_grams) - grams)), n)
+             for n in names), key=lambda s: (-s[0], s[1].name))
         (best, name), second = scored[0], scored[1][0]
-        if (best >= threshold and best - second >= gap - 1e-9 and name.n == 1
-                and name.name[0] == row.bare[0]):
+        alike = lambda word, text: any(
+            f"^{word}$"[i:i + 3] in f"^{w}$" for i in range(len(word)) for w in text.split())
+        begins = alike(name.name.split()[0], row.bare) or not alike(row.bare.split()[0], name.name)
+        if best >= threshold and best - second >= gap - 1e-9 and name.n == 1 and begins:
             out[row.identifier] = (name.product_id, round(best, 9))
     return out
 
@@ -117,7 +136,8 @@ def test_index_search_equals_comparing_everything(spark, threshold, gap):
     names = [(f"{i:04d}", f"{c} {t} {size}cm") for i, (c, t, size) in enumerate(
         (c, t, s) for c in colours for t in things for s in (5, 15, 25, 125))]
     strings = ([n.upper()[:len(n) - k] for _, n in names for k in (1, 3, 6)]
-               + [n[2:] for _, n in names] + [n.replace(" ", "")[:9] for _, n in names]
+               + [n[2:] for _, n in names] + ["x" + n[1:] for _, n in names]
+               + [n.split(" ", 1)[1] for _, n in names] + [n.replace(" ", "")[:9] for _, n in names]
                + ["ring", "blue", "cm", "zzz", "25cm bolt"])
     strings = sorted(set(strings))
     catalog = _catalog(spark, names)

@@ -8,6 +8,7 @@ from itertools import combinations
 import pytest
 
 from shelfline.functions.quantiles import exact_medians
+from shelfline.operators import baskets
 from shelfline.operators.baskets import top_pairs
 
 
@@ -32,22 +33,48 @@ def _skewed_orders(seed):
     return orders
 
 
-@pytest.mark.parametrize("seed, n, large, block", [
-    (1, 20, 512, 256),      # one large order
-    (2, 20, 100, 7), (3, 300, 100, 16),
-    (4, 5, 3, 2),           # most orders are large
-    (5, 20_000, 50, 50),    # more pairs asked for than there are
-    (6, 20, 100_000, 10),   # none is large
-    (7, 50, 1, 40),         # all with a pair are
+@pytest.mark.parametrize("seed, n, frequent, largest, block", [
+    (1, 20, 128, 32, 256),
+    (2, 20, 5, 1, 7), (3, 300, 20, 3, 16),
+    (4, 5, 2, 32, 2),           # most orders are several blocks
+    (5, 20_000, 50, 32, 50),    # more pairs asked for than there are: no bound
+    (6, 20, 128, 0, 10),        # every order makes its pairs
+    (7, 50, 1, 40, 40),
 ])
-def test_top_pairs(spark, seed, n, large, block):
+def test_top_pairs(spark, seed, n, frequent, largest, block):
     orders = _skewed_orders(seed)
     lines = spark.createDataFrame(
         [(o, p) for o, ps in orders.items() for p in ps], "order_id string, product_id string")
-    got = top_pairs(lines, "order_id", "product_id", n, large, block)
+    got = top_pairs(lines, "order_id", "product_id", n, frequent, largest, block)
     assert [tuple(r) for r in got.collect()] == _brute_force_pairs(orders, n)
 
 
+@pytest.mark.parametrize("n", [5, 40])
+def test_top_pairs_of_many_large_orders_with_low_counts(spark, n):
+    rng = random.Random(n)
+    orders = {f"o{i:02}": rng.sample([f"p{j:04}" for j in range(900)], 60) for i in range(25)}
+    lines = spark.createDataFrame(
+        [(o, p) for o, ps in orders.items() for p in ps], "order_id string, product_id string")
+    got = top_pairs(lines, "order_id", "product_id", n, block_items=8)
+    assert [tuple(r) for r in got.collect()] == _brute_force_pairs(orders, n)
+
+
+def test_rare_items_and_the_largest_order_make_no_pairs(spark, monkeypatch):
+    """Of an order with all items, and items in one other order only, no pair is made."""
+    orders = {f"o{i:02}": ["a", "b", "c", f"x{i}"] for i in range(40)}
+    orders["huge"] = [f"x{i}" for i in range(40)] + [f"y{i}" for i in range(3000)] + ["a", "b"]
+    lines = spark.createDataFrame(
+        [(o, p) for o, ps in orders.items() for p in ps], "order_id string, product_id string")
+    made, pairs_by_block = [], baskets._pairs_by_block
+    monkeypatch.setattr(baskets, "_pairs_by_block", lambda entries, *rest: made.append(
+        entries) or pairs_by_block(entries, *rest))
+    got = top_pairs(lines, "order_id", "product_id", 3)
+    assert [tuple(r) for r in got.collect()] == _brute_force_pairs(orders, 3)
+    # Bound 40: three items are left.
+    assert {r.item for r in made[0].collect()} == {"a", "b", "c"}
+    assert made[0].where("order = 'huge'").count() == 0
+
+
 def test_no_pairs(spark):
     lines = spark.createDataFrame(
         [("a", "x"), ("a", "x"), ("b", "y"), (None, "x"), (None, "y")],
