@@ -40,6 +40,12 @@ _ORDERS_CHECKED = _with_bad_record(schemas.RAW_ORDERS)
 _POS_NUMBERS = [f for f in schemas.RAW_POS if f.dataType != T.StringType()]
 
 
+def _made_once(checked: DataFrame) -> DataFrame:
+    """The same rows. A filter on the reason is not moved below, where it would
+    parse every line once for each condition."""
+    return checked.select(F.inline(F.array(F.struct(*checked.columns))))
+
+
 def _checked_pos(rows: DataFrame, line: Column, *keep: str) -> DataFrame:
     """Typed register rows of `rows`, which has them as text, with the `line` of
     those that cannot be used and the `reason`."""
@@ -51,8 +57,8 @@ def _checked_pos(rows: DataFrame, line: Column, *keep: str) -> DataFrame:
     typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) if f in _POS_NUMBERS else f.name
              for f in schemas.RAW_POS]
     # Decided on the text: the typed columns have the same names.
-    return rows.withColumns({REASON: reason, LINE: F.when(reason.isNotNull(), line)}).select(
-        *typed, *keep, REASON, LINE)
+    return _made_once(rows.withColumn(REASON, reason).select(
+        *typed, *keep, REASON, F.when(F.col(REASON).isNotNull(), line).alias(LINE)))
 
 
 def _checked_orders(rows: DataFrame, document: Column, *keep: str) -> DataFrame:
@@ -66,8 +72,9 @@ def _checked_orders(rows: DataFrame, document: Column, *keep: str) -> DataFrame:
         .when(F.col("items").isNull(), F.lit("missing items"))
         .when(incomplete, F.lit("incomplete item"))
     )
-    return rows.withColumns({REASON: reason, LINE: F.when(reason.isNotNull(), document)}).select(
-        *schemas.RAW_ORDERS.names, *keep, REASON, LINE)
+    return _made_once(rows.withColumn(REASON, reason).select(
+        *schemas.RAW_ORDERS.names, *keep, REASON,
+        F.when(F.col(REASON).isNotNull(), document).alias(LINE)))
 
 
 def accepted(checked: DataFrame) -> DataFrame:
