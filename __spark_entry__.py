@@ -172,6 +172,10 @@ def _resolver_cascade(spark, root):
     return resolver.resolve_products(strings, views.products(spark, root), aliases)
 
 
+def _current_aliases(spark, root):
+    return resolver.current_aliases(views.alias_history(spark, root))
+
+
 def _enriched(spark, root):
     pos, orders = views.raw_pos(spark, root), views.raw_orders(spark, root)
     lines = cleaning.clean_lines(pos, orders)
@@ -354,6 +358,7 @@ def queries() -> dict[str, Query]:
         "resolved_products": _resolved_products,
         "fuzzy_matches": _fuzzy_matches,
         "resolver_cascade": _resolver_cascade,
+        "current_aliases": _current_aliases,
         "enriched": _enriched,
         "clean_transactions": _clean_transactions,
         "run_summary": _run_summary,

@@ -519,6 +519,12 @@ FROM raw_pos WHERE NOT regexp_full_match(upc_or_name, '[0-9]+')""", RAW_POS)
     sql["fuzzy_matches"] = with_views(
         "SELECT * FROM matched", MISTYPED,
         _brute_force_matches("SELECT DISTINCT identifier FROM mistyped"))
+    sql["current_aliases"] = with_views("""
+SELECT 'Nr. ' || p_partkey AS identifier,
+       lpad(CAST(CASE WHEN p_partkey % 11 = 1 THEN p_partkey
+                      WHEN p_partkey % 5 = 1 THEN p_partkey - 1 ELSE p_partkey END AS VARCHAR),
+            12, '0') AS product_id
+FROM part WHERE p_partkey % 22 <> 1 AND (p_partkey % 7 <> 0 OR p_partkey % 11 = 1)""")
     sql["resolver_cascade"] = with_views("""
 SELECT r.identifier, coalesce(alias_id, name_id, skeleton_id, m.product_id, 'UNKNOWN') AS product_id,
        CASE WHEN alias_id IS NOT NULL THEN 'alias' WHEN name_id IS NOT NULL THEN 'exact_name'

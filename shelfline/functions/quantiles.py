@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 # middle is wider than that, so the middle values are always inside it.
 _ACCURACY = 10_000
 _BRACKET = [0.499, 0.501]
+# Equal stretches that a bracket is cut into.
+PARTS = 1024
 
 
 def exact_medians(df: DataFrame, columns: list[str]) -> Column:
@@ -16,7 +18,9 @@ def exact_medians(df: DataFrame, columns: list[str]) -> Column:
     mean of the middle two for even counts, nulls aside.
 
     A sketch brackets the middle, values below the bracket are only counted, and
-    just the distinct values inside it (0.2 % of the ranks) are sorted.
+    the distinct values inside it (0.2 % of the ranks) are counted by stretches.
+    Only values of the stretches that the middle falls into are sorted, so no
+    task has all values of the bracket.
     """
     numbers = {c: F.col(c).cast("double") for c in columns}
     ends = df.agg(F.struct(*[
@@ -47,20 +51,31 @@ def exact_medians(df: DataFrame, columns: list[str]) -> Column:
                  rows_where((F.col("name") == c) & (F.col("v") < F.col("low"))).alias("below"))
         .alias(c) for c in columns])).scalar()
 
-    so_far = Window.partitionBy("name").orderBy("v") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (
-        counts.where(F.col("v").between(F.col("low"), F.col("high")))
+    width = F.col("high") - F.col("low")
+    stretch = F.when(width > 0, F.least(
+        F.floor((F.col("v") - F.col("low")) / width * PARTS), F.lit(PARTS - 1))).otherwise(0)
+    bracket = counts.where(F.col("v").between(F.col("low"), F.col("high"))) \
+        .select("name", "v", "rows", stretch.alias("part"))
+    # At most PARTS rows a column.
+    earlier = Window.partitionBy("name").orderBy("part") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        bracket.groupBy("name", "part").agg(F.sum("rows").alias("n"))
         .withColumn("sizes", sizes)
-        .select("name", "v", "rows",
-                of_column(lambda c: F.col("sizes").getField(c)).alias("size"))
-        .select("name", "v", F.col("size.total").alias("total"),
-                (F.col("size.below") + F.sum("rows").over(so_far)).alias("rank"))
+        .select("name", "part", "n", of_column(lambda c: F.col("sizes").getField(c)).alias("size"))
+        .select("name", "part", "n", F.col("size.total").alias("total"),
+                (F.col("size.below") + F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+                .alias("before"))
     )
+    lower, upper = F.floor((F.col("total") + 1) / 2), F.floor((F.col("total") + 2) / 2)
+    middle = parts.where((F.col("before") < upper) & (F.col("before") + F.col("n") >= lower))
+    so_far = Window.partitionBy("name", "part").orderBy("v") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = bracket.join(middle, ["name", "part"]).withColumn(
+        "rank", F.col("before") + F.sum("rows").over(so_far))
 
     def at_rank(c: str, rank: Column) -> Column:
         return F.min(F.when((F.col("name") == c) & (F.col("rank") >= rank), F.col("v")))
 
-    lower, upper = F.floor((F.col("total") + 1) / 2), F.floor((F.col("total") + 2) / 2)
     return ranked.agg(F.struct(*[
         ((at_rank(c, lower) + at_rank(c, upper)) / 2).alias(c) for c in columns])).scalar()

@@ -265,21 +265,56 @@ def drop_unknown(resolution: DataFrame) -> DataFrame:
     return resolution.where(F.col("product_id") != UNKNOWN)
 
 
+def current_aliases(history: DataFrame) -> DataFrame:
+    """(identifier, product_id): the last version of each identifier's alias. An
+    alias without a product is retired; products that one version has for the
+    same identifier contradict each other, and it has none."""
+    versions = history.groupBy("identifier", F.coalesce("version", F.lit(0)).alias("version")).agg(
+        F.min("product_id").alias("product_id"), F.max("product_id").alias("other_id"),
+        F.count_if(F.col("product_id").isNull()).alias("retired"))
+    last = versions.groupBy("identifier").agg(F.max_by(
+        F.struct("product_id", "other_id", "retired"), "version").alias("last"))
+    return last.where(
+        (F.col("last.retired") == 0) & (F.col("last.product_id") == F.col("last.other_id"))
+    ).select("identifier", "last.product_id")
+
+
 def save_aliases(resolution: DataFrame, path: str) -> None:
     """Append newly resolved strings to the alias table at `path`, so that later
-    runs resolve them by lookup."""
+    runs resolve them by lookup. A string that the table has or had is left as
+    it is: only `correct_aliases` changes one."""
     spark = resolution.sparkSession
     learned = drop_unknown(resolution).where(F.col("method") != "alias") \
         .select("identifier", "product_id")
-    learned.join(load_aliases(spark, path), "identifier", "left_anti") \
-        .write.mode("append").parquet(path)
+    history = alias_history(spark, path)
+    _append_version(learned.join(history, "identifier", "left_anti"), history, path)
+
+
+def correct_aliases(corrections: DataFrame, path: str) -> None:
+    """Append (identifier, product_id) as the next version of these aliases: the
+    last writer wins, and a null product retires an alias. Earlier versions stay."""
+    history = alias_history(corrections.sparkSession, path)
+    _append_version(corrections.select("identifier", "product_id"), history, path)
 
 
-def load_aliases(spark: SparkSession, path: str) -> DataFrame:
-    """The alias table, empty before the first run."""
+def _append_version(rows: DataFrame, history: DataFrame, path: str) -> None:
+    last = history.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+    rows.withColumn("version", F.lit(last + 1).cast("bigint")).write.mode("append").parquet(path)
+
+
+def alias_history(spark: SparkSession, path: str) -> DataFrame:
+    """All versions of all aliases, empty before the first run."""
     try:
-        return spark.read.schema(schemas.ALIASES).parquet(path)
+        return spark.read.schema(schemas.ALIAS_HISTORY).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schemas.ALIASES)
+        return spark.createDataFrame([], schemas.ALIAS_HISTORY)
+
+
+def load_aliases(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The aliases that count now, or those that did after a version."""
+    history = alias_history(spark, path)
+    if version is not None:
+        history = history.where(F.coalesce("version", F.lit(0)) <= version)
+    return current_aliases(history)

@@ -46,6 +46,8 @@ FORECASTS = _struct(
 )
 
 ALIASES = _struct(identifier=_S, product_id=_S)
+# As stored: of an identifier the highest version counts; no product retires it.
+ALIAS_HISTORY = _struct(identifier=_S, product_id=_S, version=_L)
 
 TRANSACTIONS = _struct(
     transaction_id=_S, order_id=_S, product_id=_S, product_name=_S, category=_S,

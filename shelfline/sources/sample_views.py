@@ -7,7 +7,7 @@ come from, with dirty names, mixed time formats and planted copies.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -418,3 +418,21 @@ def register_strings(spark: SparkSession, root: str) -> tuple[DataFrame, DataFra
 def with_null_regions(tx: DataFrame) -> DataFrame:
     hit = _order_number() % 101 == 0
     return tx.withColumn("region", F.when(~hit, F.col("region")))
+
+
+def alias_history(spark: SparkSession, root: str) -> DataFrame:
+    """(identifier, product_id, version): every product has a nickname; the second
+    version gives some to the product before, the third takes some back, the
+    fourth has two products for some."""
+    number = F.col("p_partkey")
+    def version(n: int, product: Column, rows: Column | None = None) -> DataFrame:
+        names = _catalog(spark, root)
+        return (names if rows is None else names.where(rows)).select(
+            F.concat(F.lit("Nr. "), number.cast("string")).alias("identifier"),
+            product.cast("string").alias("product_id"), F.lit(n).cast("bigint").alias("version"))
+    before = F.lpad((number - 1).cast("string"), 12, "0")
+    parts = [version(1, F.col("product_id")), version(2, before, number % 5 == 1),
+             version(3, F.lit(None), number % 7 == 0),
+             version(4, F.col("product_id"), number % 11 == 1),
+             version(4, before, number % 22 == 1)]
+    return reduce(DataFrame.unionByName, parts)

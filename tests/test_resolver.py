@@ -172,3 +172,35 @@ def test_alias_table_grows_once(spark, catalog, tmp_path):
     assert known.count() == 6
     again = resolver.resolve_products(_ids(spark, ENTRIES), catalog, aliases=known)
     assert {r.method for r in again.collect()} == {"alias", None}
+
+
+def test_aliases_are_corrected_and_retired(spark, catalog, tmp_path):
+    path = str(tmp_path / "product_alias")
+    def write(*rows):
+        resolver.correct_aliases(spark.createDataFrame(rows, schemas.ALIASES), path)
+    def now(version=None):
+        return {r.identifier: r.product_id
+                for r in resolver.load_aliases(spark, path, version).collect()}
+    write(("a", "01"), ("b", "02"), ("c", "03"))
+    write(("a", "04"), ("b", None))                       # one corrected, one retired
+    write(("c", "05"), ("c", "06"), ("d", "07"), ("d", "07"))
+    assert now() == {"a": "04", "d": "07"}                # the writer of c contradicts itself
+    assert now(1) == {"a": "01", "b": "02", "c": "03"} and now(2) == {"a": "04", "c": "03"}
+    write(("c", "08"), ("b", "09"))
+    assert now() == {"a": "04", "b": "09", "c": "08", "d": "07"}
+    # What was retired or corrected by hand is not learned again.
+    write(("a", None))
+    resolver.save_aliases(spark.createDataFrame(
+        [("a", "01", "fuzzy", 0.9), ("e", "10", "fuzzy", 0.9), ("f", "11", "alias", 1.0),
+         ("g", resolver.UNKNOWN, None, None)],
+        "identifier string, product_id string, method string, score double"), path)
+    assert now() == {"b": "09", "c": "08", "d": "07", "e": "10"}
+
+
+def test_an_alias_table_without_versions_is_read(spark, tmp_path):
+    path = str(tmp_path / "product_alias")
+    spark.createDataFrame([("a", "01")], schemas.ALIASES).write.parquet(path)
+    resolver.correct_aliases(spark.createDataFrame([("b", "02")], schemas.ALIASES), path)
+    resolver.correct_aliases(spark.createDataFrame([("a", "03")], schemas.ALIASES), path)
+    assert {r.identifier: r.product_id for r in resolver.load_aliases(spark, path).collect()} \
+        == {"a": "03", "b": "02"}

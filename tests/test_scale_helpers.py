@@ -88,6 +88,9 @@ def test_no_pairs(spark):
     [random.Random(9).randint(0, 500) / 4 for _ in range(12_000)],
     [random.Random(8).random() for _ in range(30_001)],
     [1.0] * 10_000 + [random.Random(7).random() * 3 for _ in range(20_000)],
+    # All but a few of the middle values in one stretch of the bracket.
+    [random.Random(6).random() ** 40 for _ in range(20_000)] + [1e9] * 20_000,
+    [-1e300, 1e300] * 3, [1.0] * 3 + [2.0] * 3,
 ])
 def test_exact_medians(spark, values):
     df = spark.createDataFrame([(v, -v) for v in values] + [(None, None)], "x double, y double") \
