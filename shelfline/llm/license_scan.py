@@ -21,6 +21,9 @@ from shelfline.llm import common
 from shelfline.llm.decontamination import SHARD_WORDS, words_of
 
 GRAM, WINDOW = 3, 2
+# Templates of fewer words are looked up by every one of their shorter grams: a copy
+# with a word changed may have no longer one in common.
+SHORT, SHORT_GRAM = 8, 2
 COVERAGE = 0.8
 MEMO = 100_000
 # The words of decontamination.words_of, in a text of characters.
@@ -134,12 +137,12 @@ TEMPLATES = {
 }
 
 
-def gram_hashes(ids: np.ndarray) -> np.ndarray:
+def gram_hashes(ids: np.ndarray, gram: int = GRAM) -> np.ndarray:
     """A hash for the n-gram at each place; the largest number if a word of it
     is in no template."""
-    n = max(0, len(ids) - GRAM + 1)
+    n = max(0, len(ids) - gram + 1)
     found, known = np.full(n, 14695981039346656037, np.uint64), np.ones(n, bool)
-    for j in range(GRAM):
+    for j in range(gram):
         found = (found ^ ids[j:j + n].astype(np.uint64)) * np.uint64(1099511628211)
         found ^= found >> np.uint64(29)
         known &= ids[j:j + n] > 0
@@ -160,6 +163,11 @@ def winnow(hashes: np.ndarray) -> np.ndarray:
     return np.unique(place[least != _NONE])
 
 
+def fingerprints(hashes: np.ndarray, gram: int) -> np.ndarray:
+    """Places of the hashes that are looked up: winnowed, but all of short grams."""
+    return winnow(hashes) if gram == GRAM else np.flatnonzero(hashes != _NONE)
+
+
 class Index:
     """The templates as word numbers, and their fingerprints in order."""
 
@@ -171,13 +179,17 @@ class Index:
                                                               for x in w}), 1)}
         self.names = list(words)
         self.ids = [np.array([self.vocabulary[x] for x in w]) for w in words.values()]
-        entries = [(h, t, p) for t, ids in enumerate(self.ids)
-                   for hashes in [gram_hashes(ids)] for p in winnow(hashes).tolist()
-                   for h in [int(hashes[p])]]
-        entries.sort()
-        self.hashes = np.array([h for h, _, _ in entries], np.uint64)
-        self.template = np.array([t for _, t, _ in entries], np.int64)
-        self.place = np.array([p for _, _, p in entries], np.int64)
+        self.tables = [self._table(gram) for gram in (SHORT_GRAM, GRAM)]
+
+    def _table(self, gram: int) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+        """The fingerprints (hash, template, place) of the templates that are
+        looked up by grams of this length."""
+        entries = sorted((int(hashes[p]), t, p) for t, ids in enumerate(self.ids)
+                         if (gram == SHORT_GRAM) == (len(ids) < SHORT)
+                         for hashes in [gram_hashes(ids, gram)]
+                         for p in fingerprints(hashes, gram).tolist())
+        return (gram, np.array([h for h, _, _ in entries], np.uint64),
+                *(np.array([e[k] for e in entries], np.int64) for k in (1, 2)))
 
     def siblings(self, least: float) -> list[set[int]]:
         """Of each template those of like length that a copy of it may pass for."""
@@ -221,22 +233,26 @@ def align(template: np.ndarray, part: np.ndarray, band: int) -> tuple[int, int,
     return int(rows[-1][-1]), first, last
 
 
-def _candidates(ids: np.ndarray, index: Index) -> list[tuple[int, int]]:
-    """(template, diagonal) pairs in a shard, one for each run of diagonals
-    within the template's band."""
-    hashes = gram_hashes(ids)
-    places = winnow(hashes)
-    low = np.searchsorted(index.hashes, hashes[places], "left")
-    count = np.searchsorted(index.hashes, hashes[places], "right") - low
-    entry = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum())
-    template = index.template[entry]
-    diagonal = np.repeat(places, count) - index.place[entry]
-    order = np.lexsort((diagonal, template))
-    found, before = [], None
-    for t, d in zip(template[order].tolist(), diagonal[order].tolist(), strict=True):
-        if before is None or t != before[0] or d - before[1] > index.band(t):
-            found.append((t, d))
-            before = (t, d)
+def _candidates(ids: np.ndarray, begins: np.ndarray, index: Index) -> list[tuple[int, int, int]]:
+    """(template, document, diagonal) in a shard, one for each run of diagonals
+    within the template's band. The document is that of the fingerprint itself."""
+    found = []
+    for gram, known, templates, offsets in index.tables:
+        hashes = gram_hashes(ids, gram)
+        places = fingerprints(hashes, gram)
+        low = np.searchsorted(known, hashes[places], "left")
+        count = np.searchsorted(known, hashes[places], "right") - low
+        entry = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        place = np.repeat(places, count)
+        template, diagonal = templates[entry], place - offsets[entry]
+        doc = np.searchsorted(begins, place, "right") - 1
+        order = np.lexsort((diagonal, doc, template))
+        before = None
+        for t, x, d in zip(template[order].tolist(), doc[order].tolist(),
+                           diagonal[order].tolist(), strict=True):
+            if before is None or (t, x) != before[:2] or d - before[2] > index.band(t):
+                before = (t, x, d)
+                found.append(before)
     return found
 
 
@@ -260,11 +276,8 @@ def _scan(shared, least: float):
             for begin, (_, _, x) in zip(begins, rows, strict=True):
                 ids[begin:begin + len(x)] = x
             found = {}
-            for t, diagonal in _candidates(ids, index):
-                doc = int(np.searchsorted(begins, max(diagonal, 0), side="right")) - 1
+            for t, doc, diagonal in _candidates(ids, begins, index):
                 size, band = len(index.ids[t]), index.band(t)
-                if diagonal + size // 2 >= begins[doc] + sizes[doc] and doc + 1 < len(rows):
-                    doc += 1
                 start = diagonal - band
                 low = max(start, int(begins[doc]))
                 high = min(diagonal + size + band, int(begins[doc] + sizes[doc]))

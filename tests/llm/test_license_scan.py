@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 
 from shelfline.llm import license_scan, queries
@@ -99,3 +101,52 @@ def test_rights_reserved_of_the_documents(spark):
     want = {i for i, t in texts.items() if "All rights reserved." in (t or "")}
     found = queries.op8_license_scan(spark, ROOT).where("license = 'rights-reserved'").collect()
     assert want and {r.doc_id for r in found} == want
+
+
+def _rows(spark, texts, partitions=1):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return sorted(tuple(r)[1:] + (texts[r.doc_id],) for r in license_scan.scan(
+        docs.repartition(partitions)).collect())
+
+
+def test_result_does_not_depend_on_the_other_texts(spark):
+    """A copy that lacks its first words, among short and empty texts, in batches
+    of every kind."""
+    header = license_scan.TEMPLATES["GPL-3.0-header"].split()
+    cut = " ".join(header[8:])
+    alone = _rows(spark, [cut])
+    assert [r[0] for r in alone] == ["GPL-3.0-header"]
+    assert _rows(spark, ["x", "y", "z", "", cut, "", "x"]) == alone
+    rng = random.Random(3)
+    texts = [" ".join(license_scan.TEMPLATES[n].split()[rng.randrange(3):]) for n in
+             sorted(license_scan.TEMPLATES)] + [cut, "", "x", "y z"] * 3
+    wanted = alone * texts.count(cut)
+    found = [_rows(spark, rng.sample(texts, len(texts)), n) for n in (1, 2, 5)]
+    assert found[0] == found[1] == found[2]
+    assert [r for r in found[0] if r[-1] == cut] == wanted
+
+
+def test_short_notices_with_a_word_changed(spark):
+    texts = ["Released under an MIT License.", "code, released under the MIT Licence"]
+    assert {(r[0], r[-1]) for r in _rows(spark, texts)} >= {("MIT", t) for t in texts}
+
+
+def test_every_edited_copy_of_a_short_template_is_found(spark):
+    """All copies of templates of 5 to 12 words with one word changed, lost or added,
+    of which the wanted share is left, between other words."""
+    rng = random.Random(8)
+    templates = {f"t{n}": " ".join(f"w{n}x{i}" for i in range(n)) for n in range(5, 13)}
+    texts, wanted = [], set()
+    for name, template in templates.items():
+        words = template.split()
+        for place in range(len(words)):
+            for edited in (words[:place] + ["odd"] + words[place + 1:],
+                           words[:place] + words[place + 1:],
+                           words[:place] + ["odd"] + words[place:]):
+                if len(set(edited) & set(words)) >= 0.8 * len(words):
+                    wanted.add((len(texts), name))
+                texts.append(" ".join(rng.choices(["odd", "other"], k=rng.randrange(4)) + edited
+                                      + rng.choices(["odd", "other"], k=rng.randrange(4))))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {(r.doc_id, r.license) for r in license_scan.scan(docs, templates, 0.8).collect()}
+    assert found == wanted and len(wanted) > 150
