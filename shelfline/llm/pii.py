@@ -30,6 +30,8 @@ KINDS = list(PATTERNS)
 # Terms are words of so many letters. What fewer than SUPPORT rows show counts less.
 LETTERS = 3
 SUPPORT, GENERALISE, REMOVE = 3, 0.8, 0.9
+# Matches whose places are found together.
+STRETCH = 64
 SPAN = "struct<kind:int,s:bigint,e:bigint,value:string>"
 
 
@@ -74,17 +76,35 @@ def _spans(text: Column, pattern: Column, number: int) -> Column:
 
 
 def _placed(found: Column, gaps: Column, number: int) -> Column:
-    start = F.struct(F.lit(0).cast("long").alias("at"),
-                     F.expr(f"cast(array() as array<{SPAN}>)").alias("out"))
-
-    def step(state: Column, i: Column) -> Column:
-        begin = state["at"] + F.length(F.get(gaps, i))
-        end = begin + F.length(F.get(found, i))
-        span = F.struct(F.lit(number).alias("kind"), begin.alias("s"), end.alias("e"),
-                        F.get(found, i).alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
-    places = F.filter(F.sequence(F.lit(0), F.size(found)), lambda i: i < F.size(found))
-    return F.aggregate(places, start, step, lambda state: state["out"])
+    """Spans from running sums of lengths, by stretches of matches: the places of
+    the stretches first, then those in each. Every step copies what a stretch has
+    so far, and never the spans of the whole text."""
+    def length(i: Column) -> Column:
+        return F.length(F.get(gaps, i)) + F.length(F.get(found, i))
+
+    def numbers(stretch: Column) -> Column:
+        low, high = stretch * STRETCH, F.least((stretch + 1) * STRETCH, F.size(found))
+        return F.filter(F.sequence(low, high), lambda i: i < high)
+
+    def begin(starts: Column, stretch: Column) -> Column:
+        end = F.aggregate(numbers(stretch), F.element_at(starts, -1),
+                          lambda at, i: at + length(i))
+        return F.concat(starts, F.array(end))
+
+    def spans_of(at: Column, stretch: Column) -> Column:
+        def step(state: Column, i: Column) -> Column:
+            first = state["at"] + F.length(F.get(gaps, i))
+            end = first + F.length(F.get(found, i))
+            span = F.struct(F.lit(number).alias("kind"), first.alias("s"), end.alias("e"),
+                            F.get(found, i).alias("value"))
+            return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
+        start = F.struct(at.alias("at"), F.expr(f"cast(array() as array<{SPAN}>)").alias("out"))
+        return F.aggregate(numbers(stretch), start, step, lambda state: state["out"])
+
+    count = F.ceil(F.size(found) / STRETCH).cast("int")
+    stretches = F.filter(F.sequence(F.lit(0), count), lambda k: k < count)
+    starts = F.aggregate(stretches, F.array(F.lit(0).cast("long")), begin)
+    return F.flatten(F.zip_with(F.slice(starts, 1, count), stretches, spans_of))
 
 
 def with_base_spans(docs: DataFrame) -> DataFrame:

@@ -98,3 +98,14 @@ def test_terms_far_away_and_rare_values(spark):
     assert [(x.kind, x.value) for x in found[4].spans] == [
         (3, "+1 (212) 555-1234"), (4, "Mustername"), (4, "call")]
     assert all(not found[i].spans for i in range(5, 10))
+
+
+def test_places_of_very_many_matches(spark):
+    """A text of 1 MB with 80,000 addresses: by stretches, so time follows the text."""
+    text = " ".join(f"a{i}@b.cc" for i in range(80_000))
+    docs = spark.createDataFrame([(1, text), (2, text[:700]), (3, "")], "doc_id long, text string")
+    found = pii.with_base_spans(docs).select("doc_id", "base.s", "base.e").collect()
+    for r in found:
+        body = {1: text, 2: text[:700], 3: ""}[r.doc_id]
+        places = [m.span() for m in re.finditer(r"\S+@\S+\.\S+", body)]
+        assert list(zip(r.s, r.e)) == places
