@@ -40,7 +40,7 @@ def found(df):
     return sorted(map(tuple, rows), key=str)
 
 
-@pytest.mark.parametrize("sf", ["sf0.001", "sf0.1"])
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
 def test_equals_sql(spark, sf):
     root = f"/root/testdata/{sf}"
     con = compare.oracle_connection(root)

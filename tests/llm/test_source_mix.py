@@ -41,7 +41,7 @@ def test_targets(spark):
     assert {r.source: r.source_size for r in got} == lengths
 
 
-@pytest.mark.parametrize("sf", ["sf0.001", "sf0.1"])
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
 def test_equals_sql(spark, sf):
     root = f"/root/testdata/{sf}"
     con = compare.oracle_connection(root)
