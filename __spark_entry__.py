@@ -120,6 +120,21 @@ def _clean_table_casts(spark, root):
     return _as_text(stored).withColumn("sale_month", F.date_format("sale_month", "yyyy-MM-dd"))
 
 
+def _reference_scan(spark, root):
+    """A reference table whole, under its declared columns."""
+    return tables.read_table(spark, f"{root}/supplier.parquet").select(
+        F.col("s_suppkey").cast("bigint").alias("supplier_id"),
+        F.col("s_name").alias("supplier_name"))
+
+
+def _freshness(spark, root):
+    """When the clean table was last loaded, lines being loaded a day after they were sold."""
+    tx = views.transactions(spark, root).withColumn(
+        "inserted_at", F.col("sale_timestamp") + F.expr("interval 1 day"))
+    return tables.freshness(tx).select(
+        F.date_format("last_loaded", "yyyy-MM-dd HH:mm:ss").alias("last_loaded"))
+
+
 def _explode_orders(spark, root):
     return cleaning.explode_orders(views.raw_orders(spark, root)).drop("ingest_order")
 
@@ -349,6 +364,8 @@ def queries() -> dict[str, Query]:
         "feed_balance": _feed_balance,
         "staged_orders": _staged_orders,
         "clean_table_casts": _clean_table_casts,
+        "reference_scan": _reference_scan,
+        "freshness": _freshness,
         "explode_orders": _explode_orders,
         "normalized_union": _normalized_union,
         "parsed_timestamps": _parsed_timestamps,

@@ -500,6 +500,11 @@ SELECT {ORDER_COLUMNS}, count(*) AS items, CAST(sum(quantity) AS BIGINT) AS unit
 FROM feed WHERE channel = 'ecommerce' GROUP BY ALL""")
     sql["clean_table_casts"] = with_views(CLEAN.replace(
         "FROM tx", ", strftime(date_trunc('month', sale_date), '%Y-%m-%d') AS sale_month FROM tx"))
+    sql["reference_scan"] = """
+SELECT CAST(s_suppkey AS BIGINT) AS supplier_id, s_name AS supplier_name FROM supplier"""
+    sql["freshness"] = with_views("""
+SELECT strftime(max(sale_timestamp) + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS last_loaded
+FROM tx""")
     sql["explode_orders"] = _raw(f"SELECT {FEED_COLUMNS} FROM feed WHERE channel = 'ecommerce'")
     sql["normalized_union"] = _raw(f"SELECT {FEED_COLUMNS} FROM feed")
     sql["parsed_timestamps"] = _raw("""
