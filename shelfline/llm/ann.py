@@ -103,6 +103,22 @@ def clean(vectors: DataFrame, id_col: str = "vec_id",
         "norm", F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).where("norm > 0")
 
 
+def _one_each(rows: DataFrame) -> DataFrame:
+    """One row an id: of several vectors the first in order of their components."""
+    return rows.groupBy("vec_id").agg(F.min(F.struct("v", "norm")).alias("first")).select(
+        "vec_id", "first.*")
+
+
+def _of_one_length(*tables: DataFrame) -> list[DataFrame]:
+    """Vectors that are shorter than the longest end in zeros."""
+    sizes = [t.agg(F.min(F.size("v")), F.max(F.size("v"))).first() for t in tables]
+    longest = max((s[1] for s in sizes if s[1] is not None), default=0)
+    if all(s[0] in (None, longest) for s in sizes):
+        return list(tables)
+    return [t.withColumn("v", F.concat("v", F.array_repeat(
+        F.lit(0.0), F.lit(longest) - F.size("v")))) for t in tables]
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
@@ -217,13 +233,15 @@ def nearest(vectors: DataFrame, queries: DataFrame, search: Search = Search(),
     queries meet in blocks of bounded size, so neither a list with very many
     (equal) vectors nor one that very many queries probe is one task's work.
     Vectors that are null or zero or have null or non-finite components, and
-    rows with a null id, take no part. Repeated rows are one vector; an empty
+    rows with a null id, take no part. Rows of one id are one vector, the first in
+    order of its components; a vector shorter than others ends in zeros; an empty
     table gives an empty result; other columns are not read.
     """
     spark = common.prepare(vectors.sparkSession)
     empty = "query_id long, rank int, vec_id long, score double"
-    points = common.stash(clean(vectors, id_col, vector_col).dropDuplicates(["vec_id"]))
-    asked = clean(queries, id_col, vector_col).dropDuplicates(["vec_id"])
+    points = common.stash(_one_each(clean(vectors, id_col, vector_col)))
+    asked = common.stash(_one_each(clean(queries, id_col, vector_col)))
+    points, asked = _of_one_length(points, asked)
     lists = fit(points, search)
     if lists is None:
         return spark.createDataFrame([], empty)

@@ -77,3 +77,12 @@ def test_odd_vectors(spark):
     found = lists(ann.nearest(frame, frame.where("vec_id % 20 = 0")).collect())
     assert found == {20: [(7, 0.9), (1, 0.5)]}
     assert ann.nearest(frame.limit(0), frame).count() == 0
+
+
+def test_unequal_lengths_and_ids_with_several_vectors(spark):
+    rows = [(20, [1.0, 0.25]), (1, [0.5, 0.5]), (8, [0.95]), (9, [0.1, 0.1, 5.0]),
+            (3, [0.7, 0.0]), (3, [0.2, 0.0]), (3, [0.9, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    for _ in range(2):
+        found = lists(ann.nearest(frame, frame.where("vec_id % 20 = 0")).collect())
+        assert found == {20: [(8, 0.95), (1, 0.625), (3, 0.2), (9, 0.125)]}
