@@ -6,6 +6,7 @@ import logging
 import os
 import sys
 from collections.abc import Callable
+from datetime import datetime, timezone
 from functools import partial
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -19,7 +20,7 @@ from shelfline.functions.dates import in_window  # noqa: E402
 from shelfline.operators import cleaning, enrich, quality, resolver  # noqa: E402
 from shelfline.plans import adhoc, clean_run, derived, reports  # noqa: E402
 from shelfline.session import configure  # noqa: E402
-from shelfline.sources import line_store, raw, tables  # noqa: E402
+from shelfline.sources import line_store, raw, staging, tables  # noqa: E402
 from shelfline.sources import sample_views as views  # noqa: E402
 from shelfline.sources.tables import Tables  # noqa: E402
 
@@ -106,6 +107,14 @@ def _feed_balance(spark, root):
             views.order_documents(spark, root), "document", "ingest_order")))
 
 
+def _staged_pos(spark, root):
+    """Register rows as they are staged and read back, and the number they get."""
+    loaded_at = datetime(2026, 4, 21, tzinfo=timezone.utc)
+    staged = staging.numbered(staging.stamped(views.pos_from_files(spark, root), loaded_at))
+    return staged.select(*schemas.RAW_POS.names, "ingest_order",
+                         F.date_format("ingested_at", "yyyy-MM-dd").alias("ingested_on"))
+
+
 def _staged_orders(spark, root):
     orders = raw.flatten_customer(raw.parse_order_documents(
         _order_documents(spark, root), "document", "ingest_order"))
@@ -362,6 +371,7 @@ def queries() -> dict[str, Query]:
         "pos_csv_rejects": _pos_csv_rejects,
         "order_json_rejects": _order_json_rejects,
         "feed_balance": _feed_balance,
+        "staged_pos": _staged_pos,
         "staged_orders": _staged_orders,
         "clean_table_casts": _clean_table_casts,
         "reference_scan": _reference_scan,

@@ -495,6 +495,13 @@ FROM pos_lines GROUP BY ALL
 UNION ALL
 SELECT 'orders', coalesce(reason, 'parsed'), count(*) FROM order_lines GROUP BY ALL""",
         RAW_POS, POS_REJECTS, ORDER_REJECTS)
+    sql["staged_pos"] = with_views("""
+SELECT transaction_id, store_id, timestamp_raw, upc_or_name, quantity, price_charged_cents,
+       (dense_rank() OVER (ORDER BY file, block) - 1) * 8589934592
+         + (l_orderkey * 4194304 + rn) % 8589934592 AS ingest_order,
+       '2026-04-21' AS ingested_on
+FROM (SELECT *, CASE WHEN resent = 1 THEN 'again-' ELSE 'first-' END || l_orderkey % 3 AS file,
+             l_orderkey // 500 AS block FROM raw_pos)""", RAW_POS)
     sql["staged_orders"] = _raw(f"""
 SELECT {ORDER_COLUMNS}, count(*) AS items, CAST(sum(quantity) AS BIGINT) AS units
 FROM feed WHERE channel = 'ecommerce' GROUP BY ALL""")

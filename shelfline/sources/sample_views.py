@@ -220,6 +220,18 @@ def raw_pos(spark: SparkSession, root: str) -> DataFrame:
         .drop("resent", "l_orderkey", "rn")
 
 
+def pos_from_files(spark: SparkSession, root: str) -> DataFrame:
+    """Register rows with the place that a reader gives them: file, offset of the
+    block, number in it. What was sent again is in files of its own."""
+    order = _order_number()
+    again = F.col("ingest_order") >= 1 << 60
+    return raw_pos(spark, root).withColumn("ingest_order", F.struct(
+        F.concat(F.when(again, F.lit("again-")).otherwise(F.lit("first-")),
+                 (order % 3).cast("string")).alias("file"),
+        (F.floor(order / 500) * (128 << 20)).alias("block"),
+        F.col("ingest_order").bitwiseAND((1 << 33) - 1).alias("row")))
+
+
 def _place(resent: Column, line: Column) -> Column:
     """Place in a feed: what was sent again comes after all else, orders go by
     number. Only lines of orders beyond 4 million lines can come out of turn."""

@@ -14,7 +14,7 @@ from shelfline.sources.raw import LINE, REASON, accepted, flatten_customer
 ROW_BITS = 33
 
 
-def _stamped(raw: DataFrame, loaded_at: datetime | None) -> DataFrame:
+def stamped(raw: DataFrame, loaded_at: datetime | None) -> DataFrame:
     """Add the load time and put it in front of the order, so that an earlier
     load comes before a later one whatever the files are called."""
     return (
@@ -26,12 +26,12 @@ def _stamped(raw: DataFrame, loaded_at: datetime | None) -> DataFrame:
 
 def stage_pos(raw_pos: DataFrame, path: str, mode: str = "append",
               loaded_at: datetime | None = None) -> None:
-    _stamped(raw_pos, loaded_at).write.mode(mode).parquet(path)
+    stamped(raw_pos, loaded_at).write.mode(mode).parquet(path)
 
 
 def stage_orders(raw_orders: DataFrame, path: str, mode: str = "append",
                  loaded_at: datetime | None = None) -> None:
-    _stamped(flatten_customer(raw_orders), loaded_at).write.mode(mode).parquet(path)
+    stamped(flatten_customer(raw_orders), loaded_at).write.mode(mode).parquet(path)
 
 
 def usable(staged: DataFrame) -> DataFrame:
@@ -45,15 +45,10 @@ def read_rejected(spark: SparkSession, path: str) -> DataFrame:
         "ingested_at", "ingest_order", REASON, LINE)
 
 
-def read_staged(spark: SparkSession, path: str,
-                loaded_at: datetime | None = None) -> DataFrame:
-    """The usable rows of a staging table, or of one load of it, `ingest_order`
-    being one number: the place of a row among all that were staged. Blocks of
-    the files are ranked by load, file and offset, which reads three narrow
-    columns; the row's place in its block is added."""
-    staged = usable(spark.read.parquet(path))
-    if loaded_at is not None:
-        staged = staged.where(F.col("ingested_at") == F.lit(loaded_at))
+def numbered(staged: DataFrame) -> DataFrame:
+    """`ingest_order` as one number: the place of a row among all that were
+    staged. Blocks of the files are ranked by load, file and offset, which reads
+    three narrow columns; the row's place in its block is added."""
     block = ["loaded", "file", "block"]
     # A row for each block of a file: what Spark's own file listing holds.
     ranks = staged.select("ingest_order.loaded", "ingest_order.file", "ingest_order.block") \
@@ -66,3 +61,12 @@ def read_staged(spark: SparkSession, path: str,
         staged.withColumn("at", at).join(ranks, "at")
         .withColumn("ingest_order", place).select(*staged.columns)
     )
+
+
+def read_staged(spark: SparkSession, path: str,
+                loaded_at: datetime | None = None) -> DataFrame:
+    """The usable rows of a staging table, or of one load of it, numbered."""
+    staged = usable(spark.read.parquet(path))
+    if loaded_at is not None:
+        staged = staged.where(F.col("ingested_at") == F.lit(loaded_at))
+    return numbered(staged)
