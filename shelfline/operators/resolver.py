@@ -103,15 +103,15 @@ def _need(share: Column) -> Column:
 
 
 def _ranked_grams(texts: DataFrame, key: str, text: Column, rarity: DataFrame) -> DataFrame:
-    """(key, grams, n): the trigrams of each text, rarest first. A text has no
+    """(key, bare, grams, n): each text and its trigrams, rarest first. A text has no
     more of them than letters, so the regrouped list is bounded by one text."""
     return (
-        texts.select(key, F.explode(word_trigrams(text)).alias("gram"))
+        texts.select(key, text.alias("bare"), F.explode(word_trigrams(text)).alias("gram"))
         .join(rarity, "gram", "left")
-        .groupBy(key)
+        .groupBy(key, "bare")
         .agg(F.sort_array(F.collect_list(F.struct(
             F.coalesce("names", F.lit(0)).alias("names"), "gram"))).alias("ranked"))
-        .select(key, F.col("ranked.gram").alias("grams"), F.size("ranked").alias("n"))
+        .select(key, "bare", F.col("ranked.gram").alias("grams"), F.size("ranked").alias("n"))
     )
 
 
@@ -124,7 +124,7 @@ def _search_tasks(spark: SparkSession) -> int:
 
 
 def _candidates(strings: DataFrame, postings: DataFrame) -> DataFrame:
-    """(identifier, n, name_key, score) for all names that share at least
+    """(identifier, bare, name_key, score) for all names that share at least
     `need` of the string's trigrams.
 
     A pair is emitted only at the first trigram it shares, so no pair is emitted
@@ -133,17 +133,17 @@ def _candidates(strings: DataFrame, postings: DataFrame) -> DataFrame:
     # The search costs much time per byte, so its partitions must not be merged
     # for being small: with a number given they are kept.
     probes = strings.repartition(_search_tasks(strings.sparkSession)).select(
-        "identifier", "grams", "n", "need",
+        "identifier", "bare", "grams", "n", "need",
         F.explode(F.slice("grams", F.lit(1), F.col("n") - F.col("need") + 1)).alias("gram"))
     common = F.array_intersect("grams", "name_grams")
     return (
         probes.join(postings, (probes.gram == postings.name_gram)
                     & (postings.name_left >= probes.need))
-        .select("identifier", "n", "gram", "need", "name_key",
+        .select("identifier", "bare", "n", "gram", "need", "name_key",
                 F.size("name_grams").alias("name_n"), common.alias("common"))
         .where((F.size("common") >= F.col("need"))
                & (F.get("common", F.lit(0)) == F.col("gram")))
-        .select("identifier", "n", "name_key", _score(
+        .select("identifier", "bare", "name_key", _score(
             F.size("common"), F.col("n"), F.col("name_n")).alias("score"))
     )
 
@@ -206,6 +206,7 @@ def fuzzy_matches(identifiers: DataFrame, products: DataFrame,
     )
     best = top_two.groupBy("identifier").agg(
         F.max(F.when(F.col("place") == 1, F.col("name_key"))).alias("name_key"),
+        F.max(F.when(F.col("place") == 1, F.col("bare"))).alias("bare"),
         F.max(F.when(F.col("place") == 1, F.col("score"))).alias("score"),
         F.max(F.when(F.col("place") == 2, F.col("score"))).alias("second"),
     )
@@ -214,7 +215,7 @@ def fuzzy_matches(identifiers: DataFrame, products: DataFrame,
     return (
         best.where(clear)
         .join(names.where(F.col("products") == 1), "name_key")
-        .where(_begins_alike(skeleton(F.col("identifier")), F.col("name_key")))
+        .where(_begins_alike(F.col("bare"), F.col("name_key")))
         .select("identifier", "product_id", "score")
     )
 
