@@ -8,6 +8,8 @@ from shelfline.operators import resolver
 from shelfline.sources import sample_views as views
 
 ROOT = "/root/testdata/sf0.001"
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+MERGED = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
 def _plan(df):
@@ -20,6 +22,21 @@ def own(spark):
     return session.configure(spark.newSession())
 
 
+@pytest.mark.parametrize("name", ["freshness", "kpi_summary", "staged_pos"])
+def test_shuffles_start_with_partitions_for_the_input(own, monkeypatch, name):
+    monkeypatch.setattr(views, "input_bytes", lambda spark, root: 1 << 30)
+    entry.queries()[name](own, ROOT)
+    assert own.conf.get(INITIAL) == "256"
+    assert own.conf.get(MERGED) == f"{16 << 20}b"
+
+
+def test_smaller_settings_of_the_deployment_stay(own):
+    own.conf.set(MERGED, "8m")
+    own.conf.set("spark.sql.shuffle.partitions", "300")
+    session.size_tables(own, 1 << 30)
+    assert (own.conf.get(MERGED), own.conf.get(INITIAL)) == (f"{8 << 20}b", "300")
+
+
 def test_input_is_measured_by_its_files(own):
     assert 100_000 < views.input_bytes(own, ROOT) < 1_000_000
 
