@@ -54,3 +54,12 @@ def test_lists_of_trigrams_are_not_broadcast(own):
     plan = _plan(found)
     by_list = [x for x in plan.split("\n") if "Join" in x and "name_gram#" in x]
     assert len(by_list) == 2 and all("SortMergeJoin" in x for x in by_list)
+
+
+@pytest.mark.parametrize("name", ["merged_load", "load_months"])
+def test_two_loads_read_the_feed_once(own, name):
+    loads = entry.queries()[name](own, ROOT)
+    plan = loads._jdf.queryExecution().optimizedPlan().toString()
+    assert "InMemoryRelation" in loads._jdf.queryExecution().withCachedData().toString()
+    assert "Relation [l_orderkey" not in plan
+    own.catalog.clearCache()
