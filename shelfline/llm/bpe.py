@@ -27,6 +27,8 @@ from shelfline.llm import common
 MEMO = 400_000
 LONGEST_MEMO = 64
 STEP = 512
+Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+DECODED = "doc_id long, ids binary, decoded string"
 
 # White space of the pre-tokenizer's pattern; str.split() knows four more signs.
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
@@ -250,21 +252,40 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id",
     A null or empty text has no ids. Each row is encoded by itself, so repeated
     rows, ties and null ids need no rule; other columns are not read.
     """
+    return _texts(docs, id_col, text_col).mapInArrow(_encoding(path), "doc_id long, ids binary")
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     common.prepare(docs.sparkSession)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
+
+def _encoding(path: str) -> Step:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = transducer(path)
         for batch in batches:
             ids = [encoder.encode(x.as_py()) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids binary")
+    return run
 
 
 def decode(encoded: DataFrame, path: str, step: int = 1 << 16) -> DataFrame:
     """Adds `decoded`, the text of the column `ids`, to rows (doc_id, ids). No
     ids give an empty text; ids without a token are passed over."""
+    return encoded.select("doc_id", "ids").mapInArrow(_decoding(path, step), DECODED)
+
+
+def encode_and_decode(docs: DataFrame, path: str, id_col: str = "doc_id",
+                      text_col: str = "text", step: int = 1 << 16) -> DataFrame:
+    """`decode` of `encode`, batch after batch in the same workers: a task has one
+    worker instead of two, and the ids pass between them once less."""
+    encoding, decoding = _encoding(path), _decoding(path, step)
+    return _texts(docs, id_col, text_col).mapInArrow(
+        lambda batches: decoding(encoding(batches)), DECODED)
+
+
+def _decoding(path: str, step: int) -> Step:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = token_bytes(path)
         for batch in batches:
@@ -275,8 +296,7 @@ def decode(encoded: DataFrame, path: str, step: int = 1 << 16) -> DataFrame:
                                       for i in range(0, len(ids), step)]))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
-    return encoded.select("doc_id", "ids").mapInArrow(
-        run, "doc_id long, ids binary, decoded string")
+    return run
 
 
 def digests(decoded: DataFrame) -> DataFrame:

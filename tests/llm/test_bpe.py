@@ -84,3 +84,11 @@ def test_odd_documents(odd_documents, no_documents):
     assert len(rows) == odd_documents.count()
     assert {r.n_tokens for r in rows if r.doc_id in (0, 1, 2)} == {0}
     assert bpe.encode(no_documents, PATH).count() == 0
+
+
+def test_both_steps_in_one_worker(odd_documents):
+    both = bpe.encode_and_decode(odd_documents, PATH)
+    apart = bpe.decode(bpe.encode(odd_documents, PATH), PATH)
+    assert sorted(both.collect(), key=str) == sorted(apart.collect(), key=str)
+    plan = bpe.digests(both)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
