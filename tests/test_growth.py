@@ -63,3 +63,13 @@ def test_two_loads_read_the_feed_once(own, name):
     assert "InMemoryRelation" in loads._jdf.queryExecution().withCachedData().toString()
     assert "Relation [l_orderkey" not in plan
     own.catalog.clearCache()
+
+
+@pytest.mark.parametrize("name", ["run_summary", "reconciliation", "resolved_products",
+                                  "clean_transactions", "enriched"])
+def test_queries_with_the_resolver_number_the_lines_once(own, name):
+    own.catalog.clearCache()
+    plan = entry.queries()[name](own, ROOT)._jdf.queryExecution()
+    assert "InMemoryRelation" in plan.withCachedData().toString()
+    assert "- Relation [l_orderkey" not in plan.optimizedPlan().toString()
+    own.catalog.clearCache()
