@@ -204,3 +204,26 @@ def test_an_alias_table_without_versions_is_read(spark, tmp_path):
     resolver.correct_aliases(spark.createDataFrame([("a", "03")], schemas.ALIASES), path)
     assert {r.identifier: r.product_id for r in resolver.load_aliases(spark, path).collect()} \
         == {"a": "03", "b": "02"}
+
+
+def test_names_that_differ_by_a_number_are_seldom_compared(spark):
+    """Pairs that meet in a trigram of the number are told apart by their marks, and
+    every pair with enough trigrams in common is still found."""
+    names = _catalog(spark, [(str(i), f"{c} ring #{i}") for i in range(1000, 2500)
+                             for c in ("large", "cold")]).select(
+        skeleton(F.col("product_name")).alias("name_key"), "product_id")
+    rarity = names.select(F.explode(word_trigrams(F.col("name_key"))).alias("gram")) \
+        .groupBy("gram").agg(F.count("*").alias("names"))
+    postings = resolver._postings(names, rarity).cache()
+    ids = _ids(spark, [f"LARG RNGG #{i}" for i in range(1000, 2500, 15)])
+    strings = resolver._ranked_grams(
+        ids, "identifier", skeleton(F.col("identifier")), rarity).withColumn(
+        "need", resolver._need(F.lit(0.7))).cache()
+    met = strings.select("need", F.explode(F.expr("slice(grams, 1, n - need + 1)")).alias("g")) \
+        .join(postings, (F.col("g") == F.col("name_gram")) & (F.col("name_left") >= F.col("need")))
+    assert resolver._meetings(strings, postings).count() < 0.2 * met.count()
+    grams = {r.name_key: set(r.name_grams) for r in postings.collect()}
+    right = {(s.identifier, name) for s in strings.collect() for name, has in grams.items()
+             if len(has & set(s.grams)) >= s.need}
+    found = [(r.identifier, r.name_key) for r in resolver._candidates(strings, postings).collect()]
+    assert len(found) == len(right) > 0 and set(found) == right
