@@ -24,7 +24,7 @@ from tokenizers import Tokenizer
 
 from shelfline.llm import common
 
-MEMO = 400_000
+MEMO = 800_000
 LONGEST_MEMO = 64
 STEP = 512
 Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
@@ -129,8 +129,8 @@ class MergeList:
 
 
 class MemoEncoder:
-    """Encodes a text word by word, remembering a bounded number of words.
-    `piece` gives the ids of a lower-cased piece, `other` those of a word with
+    """Encodes a text word by word, remembering a bounded number of words and pieces
+    together, since a piece is a word with the same ids. `piece` gives the ids of a lower-cased piece, `other` those of a word with
     signs beyond Latin-1 or with a special token."""
 
     def __init__(self, piece: Callable[[bytes], list[int]], other: Callable[[str], list[int]],
@@ -138,7 +138,6 @@ class MemoEncoder:
         self.piece, self.other, self.dtype = piece, other, dtype
         self.code = {"<u2": "H", "<u4": "I"}[dtype]
         self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
 
     def _packed(self, ids: list[int]) -> bytes:
         packed = array(self.code, ids)
@@ -146,26 +145,27 @@ class MemoEncoder:
             packed.byteswap()
         return packed.tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        if (found := self.pieces.get(piece)) is None:
-            found = self._packed(self.piece(piece.encode()))
-            if len(piece) <= LONGEST_MEMO:
-                if len(self.pieces) >= MEMO:
-                    self.pieces.clear()
-                self.pieces[piece] = found
-        return found
-
-    def _word(self, word: str) -> bytes:
-        if _PLAIN.fullmatch(word):
-            found = b"".join([self._piece(x) for x in _PIECES.findall(word.lower())])
-        else:
-            found = self._packed(self.other(word))
+    def _remember(self, word: str, found: bytes) -> bytes:
         if len(word) <= LONGEST_MEMO:
             if len(self.words) >= MEMO:
                 self.words.clear()
             self.words[word] = found
         return found
 
+    def _piece(self, piece: str) -> bytes:
+        if (found := self.words.get(piece)) is None:
+            found = self._remember(piece, self._packed(self.piece(piece.encode())))
+        return found
+
+    def _word(self, word: str) -> bytes:
+        if not _PLAIN.fullmatch(word):
+            return self._remember(word, self._packed(self.other(word)))
+        pieces = _PIECES.findall(word.lower())
+        if len(pieces) == 1:
+            found = self._piece(pieces[0])
+            return found if pieces[0] == word else self._remember(word, found)
+        return self._remember(word, b"".join(map(self._piece, pieces)))
+
     def encode(self, text: str | None) -> bytes:
         """The ids of a text as little-endian integers; none for a null."""
         words = split_words(text or "")
@@ -210,7 +210,9 @@ def library_encoder(path: str, dtype: str) -> MemoEncoder:
     library, letters = Tokenizer.from_file(path), byte_letters()
 
     def piece(data: bytes) -> list[int]:
-        return [x.id for x in library.model.tokenize("".join([letters[b] for b in data]))]
+        # Pieces have printable ASCII only, which stands for itself.
+        text = data.decode() if data.isascii() else "".join([letters[b] for b in data])
+        return [x.id for x in library.model.tokenize(text)]
 
     def other(word: str) -> list[int]:
         return library.encode(word, add_special_tokens=False).ids

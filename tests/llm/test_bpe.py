@@ -92,3 +92,15 @@ def test_both_steps_in_one_worker(odd_documents):
     assert sorted(both.collect(), key=str) == sorted(apart.collect(), key=str)
     plan = bpe.digests(both)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInArrow") == 1
+
+
+def test_a_word_that_is_its_own_piece_is_remembered_once():
+    asked = []
+    encoder = bpe.MemoEncoder(lambda data: asked.append(data) or list(data), lambda word: [0])
+    text = "ring Ring ring's ring ring-7"
+    one = {"ring": b"ring", "Ring": b"ring", "ring's": b"ring's", "ring-7": b"ring-7"}
+    expected = [x for word in text.split() for x in one[word]]
+    assert list(np.frombuffer(encoder.encode(text), "<u4")) == expected
+    assert asked == [b"ring", b"'s", b"-", b"7"]
+    kept = [word for memo in vars(encoder).values() if isinstance(memo, dict) for word in memo]
+    assert sorted(kept) == sorted({*text.split(), "'s", "-", "7"})
